@@ -24,8 +24,19 @@ FIRST_DAY = dt.date(2026, 3, 17)
 SECOND_DAY = dt.date(2026, 3, 18)
 
 
+# Keys of the tables whose derivation is costly per row.
+_SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One that arrives in fewer splits than there are cores is
+    spread over them; such a table is small by definition, and a large one is
+    read as it is, without this shuffle."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, _SPREAD_BY[name])
+    return df
 
 
 def _text(value: Column | str) -> Column:
@@ -165,34 +176,44 @@ RAW = {
 }
 
 
-def parent_keys(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Keys of a silver table: those of the accepted landing rows."""
-    key = DOMAINS[name].key
-    rows = rules.accepted(classified(spark, sf_dir, name))
-    return rules.typed(rows, DOMAINS[name]).select(key)
+def parents_of(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    """Key columns of the parent silver tables: the keys of their accepted rows."""
+    keys = {}
+    for fk in DOMAINS[name].foreign_keys:
+        parent = DOMAINS[fk.parent]
+        keys[fk.parent] = rules.typed(accepted(spark, sf_dir, fk.parent), parent).select(parent.key)
+    return keys
+
+
+def accepted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    parents = parents_of(spark, sf_dir, name)
+    return rules.select_accepted(RAW[name](spark, sf_dir), DOMAINS[name], parents)
 
 
-def classified(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def judged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    parents = parents_of(spark, sf_dir, name)
+    return rules.judge(RAW[name](spark, sf_dir), DOMAINS[name], parents)
+
+
+def data_errors(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Level 1 needs no lookup, so it is judged on the landing rows alone."""
     domain = DOMAINS[name]
-    parents = {
-        fk.parent: parent_keys(spark, sf_dir, fk.parent) for fk in domain.foreign_keys
-    }
-    return rules.classify(RAW[name](spark, sf_dir), domain, parents)
+    raw = RAW[name](spark, sf_dir).withColumn(rules.TYPED_OK, rules.type_rules(domain))
+    return rules.data_errors(raw, domain, _stamp(LOG_TIME))
 
 
-def exceptions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return rules.exceptions(classified(spark, sf_dir, name), DOMAINS[name], _stamp(LOG_TIME))
+def business_errors(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return rules.business_errors(judged(spark, sf_dir, name), DOMAINS[name], _stamp(LOG_TIME))
 
 
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Accepted rows, typed, latest per key: the silver table after a first load."""
     domain = DOMAINS[name]
-    rows = rules.accepted(classified(spark, sf_dir, name))
-    return latest_per_key(rules.typed(rows, domain), domain.key)
+    return latest_per_key(rules.typed(accepted(spark, sf_dir, name), domain), domain.key)
 
 
 def second_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Source of a second load for patients or doctors."""
     domain = DOMAINS[name]
-    rows = rules.accepted(rules.classify(RAW[name](spark, sf_dir, second=True), domain))
+    rows = rules.select_accepted(RAW[name](spark, sf_dir, second=True), domain)
     return latest_per_key(rules.typed(rows, domain), domain.key)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.checks import derive
-from wardflow.domains import DATA_ERROR, DOMAINS
+from wardflow.domains import DOMAINS
 from wardflow.functions import hours_between, minutes_between, try_date, try_number, try_time
 from wardflow.operators import audit, lookups, masking, rules, scd2
 from wardflow.operators.dedup import latest_per_key
@@ -107,64 +107,59 @@ def typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def valid_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.accepted(derive.classified(spark, sf_dir, "patients"))
+    return derive.accepted(spark, sf_dir, "patients")
 
 
 @_query
 def valid_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.accepted(derive.classified(spark, sf_dir, "doctors"))
-
-
-def _level(spark: SparkSession, sf_dir: str, name: str, level: int) -> DataFrame:
-    is_data_error = F.col("error_type") == DATA_ERROR
-    return derive.exceptions(spark, sf_dir, name).where(is_data_error if level == 1 else ~is_data_error)
+    return derive.accepted(spark, sf_dir, "doctors")
 
 
 @_query
 def exceptions_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.exceptions(spark, sf_dir, "patients")
+    return derive.data_errors(spark, sf_dir, "patients")
 
 
 @_query
 def exceptions_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.exceptions(spark, sf_dir, "doctors")
+    return derive.data_errors(spark, sf_dir, "doctors")
 
 
 @_query
 def exceptions_admissions_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "admissions", 1)
+    return derive.data_errors(spark, sf_dir, "admissions")
 
 
 @_query
 def exceptions_procedures_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "procedures", 1)
+    return derive.data_errors(spark, sf_dir, "procedures")
 
 
 @_query
 def exceptions_billing_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "billing", 1)
+    return derive.data_errors(spark, sf_dir, "billing")
 
 
 @_query
 def exceptions_admissions_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "admissions", 2)
+    return derive.business_errors(spark, sf_dir, "admissions")
 
 
 @_query
 def exceptions_procedures_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "procedures", 2)
+    return derive.business_errors(spark, sf_dir, "procedures")
 
 
 @_query
 def exceptions_billing_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level(spark, sf_dir, "billing", 2)
+    return derive.business_errors(spark, sf_dir, "billing")
 
 
 @_query
 def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every landing row has exactly one verdict, silently dropped ones included."""
     counts = [
-        derive.classified(spark, sf_dir, name)
+        rules.with_verdict(derive.judged(spark, sf_dir, name))
         .groupBy("verdict")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("source_table"), "verdict", "n")
@@ -177,8 +172,8 @@ def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def strict_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict mode logs the undecided rows too."""
     domain = DOMAINS["patients"]
-    judged = rules.classify(derive.raw_patients(spark, sf_dir), domain, strict=True)
-    return rules.exceptions(judged, domain, derive._stamp(derive.LOG_TIME))
+    judged = rules.judge(derive.raw_patients(spark, sf_dir), domain, strict=True)
+    return rules.data_errors(judged, domain, derive._stamp(derive.LOG_TIME))
 
 
 @_query
@@ -198,7 +193,8 @@ def rule_nonneg_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def exception_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = [derive.exceptions(spark, sf_dir, name) for name in DOMAINS]
+    logs = [derive.data_errors(spark, sf_dir, name) for name in DOMAINS]
+    logs += [derive.business_errors(spark, sf_dir, d.name) for d in DOMAINS.values() if d.has_business_rules]
     return audit.failure_summary(reduce(DataFrame.unionAll, logs))
 
 
@@ -207,7 +203,7 @@ def fk_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of customers that are not in debt."""
     parents = derive.table(spark, sf_dir, "customer").where("c_acctbal >= 0").select("c_custkey")
     orders = derive.table(spark, sf_dir, "orders")
-    return lookups.semi(orders, "o_custkey", parents, parents_unique=True)
+    return lookups.semi(orders, "o_custkey", parents)
 
 
 @_query

@@ -31,9 +31,12 @@ MAX_HOT_KEYS = 4096
 NULL_SALTS = 4096
 
 
-def _salted_left_join(
-    child: DataFrame, key: str, keys: DataFrame, parent_key: str, row_id: str, hot_rows: int
+def _salted_join(
+    child: DataFrame, key: str, keys: DataFrame, parent_key: str, how: str, row_id: str | None, hot_rows: int
 ) -> DataFrame:
+    if row_id is None:
+        row_id = f"{key}_row"
+        child = child.withColumn(row_id, F.monotonically_increasing_id())
     hot = F.broadcast(
         child.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_hot_key"))
@@ -58,7 +61,7 @@ def _salted_left_join(
         .drop("_hot_key", "_salts")
     )
     same = (F.col(key) == F.col(parent_key)) & (F.col("_salt") == F.col("_parent_salt"))
-    return left.join(right, same, "left").drop("_salt", "_parent_salt")
+    return left.join(right, same, how).drop("_salt", "_parent_salt")
 
 
 def mark_exists(
@@ -92,10 +95,7 @@ def mark_exists(
     if salted is None:
         salted = not fits_broadcast(keys)
     if salted:
-        if row_id is None:
-            row_id = f"_{flag}_row"
-            rows = rows.withColumn(row_id, F.monotonically_increasing_id())
-        joined = _salted_left_join(rows, key, keys, parent_key, row_id, hot_rows)
+        joined = _salted_join(rows, key, keys, parent_key, "left", row_id, hot_rows)
     else:
         joined = rows.join(keys, F.col(key) == F.col(parent_key), "left")
 
@@ -108,9 +108,28 @@ def mark_exists(
     return joined.select(*child_columns, marked.alias(flag))
 
 
-def semi(child: DataFrame, column: str, parents: DataFrame, **options) -> DataFrame:
-    """Rows whose reference exists (``column IN parents``)."""
-    return mark_exists(child, column, parents, "_found", **options).where("_found").drop("_found")
+def semi(
+    child: DataFrame,
+    column: str,
+    parents: DataFrame,
+    *,
+    row_id: str | None = None,
+    salted: bool | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows whose reference exists (``column IN parents``): a semi join, which
+    needs neither distinct parents nor a test whether there are any."""
+    key, parent_key = f"_{column}_key", f"_{column}_parent"
+    columns = child.columns
+    rows = child.withColumn(key, try_key(F.col(column))).where(F.col(key).isNotNull())
+    keys = parents.select(F.col(parents.columns[0]).cast("bigint").alias(parent_key))
+    if salted is None:
+        salted = not fits_broadcast(keys)
+    if salted:
+        joined = _salted_join(rows, key, keys, parent_key, "left_semi", row_id, hot_rows)
+    else:
+        joined = rows.join(keys, F.col(key) == F.col(parent_key), "left_semi")
+    return joined.select(*columns)
 
 
 def not_in(child: DataFrame, column: str, parents: DataFrame, **options) -> DataFrame:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from wardflow.domains import BUSINESS_ERROR, DATA_ERROR, LOAD_TIME, Domain
 from wardflow.functions.casts import silver_value
 from wardflow.functions.sizing import fits_broadcast
-from wardflow.operators.lookups import HOT_ROWS, mark_exists
+from wardflow.operators.lookups import HOT_ROWS, mark_exists, semi
 
+TYPED_OK, BUSINESS_OK = "_typed_ok", "_business_ok"
 VERDICT = "verdict"
 ACCEPTED = "ACCEPTED"
 DROPPED = "DROPPED"
@@ -49,21 +50,49 @@ def not_negative(amount: Column) -> Column:
     return silver_value(amount, "double") >= 0
 
 
-def business_rules(domain: Domain, found: dict[str, str]) -> Column:
-    """Level 2: references exist, times are ordered, amounts are not negative.
-
-    ``found`` maps a foreign-key column to the flag its lookup produced.
-    """
-    parts = [F.col(found[fk.column]) for fk in domain.foreign_keys]
+def row_rules(domain: Domain) -> list[Column]:
+    """The level-2 rules that look at one row only: time order, no negative amount."""
+    parts = []
     if domain.time_order:
         earlier, later = domain.time_order
         parts.append(in_time_order(F.col(earlier), F.col(later)))
     if domain.non_negative:
         parts.append(not_negative(F.col(domain.non_negative)))
-    return reduce(and_, parts)
+    return parts
+
+
+def needs_salt(parents: dict[str, DataFrame], domain: Domain, salted: bool | None) -> dict[str, bool]:
+    """Per reference: is its lookup a shuffle join (and hence salted)?"""
+    return {
+        fk.column: not fits_broadcast(parents[fk.parent]) if salted is None else salted
+        for fk in domain.foreign_keys
+    }
 
 
-def classify(
+def select_accepted(
+    raw: DataFrame,
+    domain: Domain,
+    parents: dict[str, DataFrame] | None = None,
+    *,
+    salted: bool | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Only the rows that pass both levels: filters and semi joins, cheapest first."""
+    columns = raw.columns
+    forms = needs_salt(parents or {}, domain, salted)
+    rows, row_id = raw, None
+    if any(forms.values()):
+        row_id = "_row"
+        rows = rows.withColumn(row_id, F.monotonically_increasing_id())
+    rows = rows.where(reduce(and_, row_rules(domain), type_rules(domain)))
+    for fk in domain.foreign_keys:
+        rows = semi(
+            rows, fk.column, parents[fk.parent], row_id=row_id, salted=forms[fk.column], hot_rows=hot_rows
+        )
+    return rows.select(*columns)
+
+
+def judge(
     raw: DataFrame,
     domain: Domain,
     parents: dict[str, DataFrame] | None = None,
@@ -74,46 +103,51 @@ def classify(
     parents_unique: bool = False,
     parents_empty: dict[str, Column | bool] | None = None,
 ) -> DataFrame:
-    """Add ``verdict`` to every landing row.
+    """Add the outcome of both levels to every landing row.
 
     ``parents`` maps a parent domain to a one-column DataFrame of its keys and
-    is needed by the domains with references. Level 2 only judges rows that
-    passed level 1, and duplicates are judged one by one: dedup comes later.
+    is needed by the domains with references. Duplicates are judged one by one:
+    dedup comes later.
     """
     columns = raw.columns
-    rows = raw.withColumn("_typed_ok", type_rules(domain))
-    ok1 = F.col("_typed_ok")
-    ok2: Column = F.lit(True)
-
+    ok1, ok2 = type_rules(domain), F.lit(True)
+    rows = raw
     if domain.has_business_rules:
-        forms = {
-            fk.column: not fits_broadcast(parents[fk.parent]) if salted is None else salted
-            for fk in domain.foreign_keys
-        }
+        forms = needs_salt(parents, domain, salted)
         row_id = None
         if any(forms.values()):
             # Numbered at the scan, before any shuffle, so a rerun task
             # produces the same numbers and the salts stay consistent.
             row_id = "_row"
             rows = rows.withColumn(row_id, F.monotonically_increasing_id())
-        found = {}
         for fk in domain.foreign_keys:
-            found[fk.column] = f"_found_{fk.column}"
             rows = mark_exists(
                 rows,
                 fk.column,
                 parents[fk.parent],
-                found[fk.column],
+                f"_found_{fk.column}",
                 parents_unique=parents_unique,
                 parents_empty=(parents_empty or {}).get(fk.parent),
                 row_id=row_id,
                 salted=forms[fk.column],
                 hot_rows=hot_rows,
             )
-        ok2 = business_rules(domain, found)
-
+        found = [F.col(f"_found_{fk.column}") for fk in domain.foreign_keys]
+        ok2 = reduce(and_, found + row_rules(domain))
     if strict:
         ok1, ok2 = F.coalesce(ok1, F.lit(False)), F.coalesce(ok2, F.lit(False))
+    return rows.select(*columns, ok1.alias(TYPED_OK), ok2.alias(BUSINESS_OK))
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """Rows that pass both levels. A plain conjunction, so that Spark moves the
+    level-1 tests below the lookups, down to the scan."""
+    return judged.where(F.col(TYPED_OK) & F.col(BUSINESS_OK)).drop(TYPED_OK, BUSINESS_OK)
+
+
+def with_verdict(judged: DataFrame) -> DataFrame:
+    """The outcome as one word. Level 2 only counts for rows that passed level 1."""
+    ok1, ok2 = F.col(TYPED_OK), F.col(BUSINESS_OK)
     verdict = (
         F.when(~ok1, DATA_ERROR)
         .when(ok1.isNull(), DROPPED)
@@ -121,22 +155,39 @@ def classify(
         .when(ok2, ACCEPTED)
         .otherwise(DROPPED)
     )
-    return rows.select(*columns, verdict.alias(VERDICT))
+    return judged.withColumn(VERDICT, verdict).drop(TYPED_OK, BUSINESS_OK)
+
+
+def _log(rows: DataFrame, domain: Domain, error_type: str, load_time: Column) -> DataFrame:
+    message = domain.data_error if error_type == DATA_ERROR else domain.business_error
+    return rows.select(
+        F.lit(domain.name).alias("source_table"),
+        F.col(domain.key).alias("record_id"),
+        F.lit(error_type).alias("error_type"),
+        F.lit(message).alias("error_message"),
+        load_time.alias("load_time"),
+    )
 
 
-def accepted(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col(VERDICT) == ACCEPTED).drop(VERDICT)
+def data_errors(judged: DataFrame, domain: Domain, load_time: Column) -> DataFrame:
+    """One log row per landing row failing level 1, however many rules it broke."""
+    return _log(judged.where(~F.col(TYPED_OK)), domain, DATA_ERROR, load_time)
 
 
-def exceptions(classified: DataFrame, domain: Domain, load_time: Column) -> DataFrame:
-    """One log row per rejected landing row, whatever number of rules it broke."""
-    message = F.when(F.col(VERDICT) == DATA_ERROR, domain.data_error).otherwise(
-        F.lit(domain.business_error)
-    )
-    return classified.where(F.col(VERDICT).isin(*LOGGED)).select(
+def business_errors(judged: DataFrame, domain: Domain, load_time: Column) -> DataFrame:
+    """One log row per landing row that passed level 1 and fails level 2."""
+    failed = judged.where(F.col(TYPED_OK) & ~F.col(BUSINESS_OK))
+    return _log(failed, domain, BUSINESS_ERROR, load_time)
+
+
+def staged_exceptions(staged: DataFrame, domain: Domain, load_time: Column) -> DataFrame:
+    """Log rows of both levels from rows that carry their verdict."""
+    error_type = F.col(VERDICT)
+    message = F.when(error_type == DATA_ERROR, domain.data_error).otherwise(F.lit(domain.business_error))
+    return staged.where(error_type.isin(*LOGGED)).select(
         F.lit(domain.name).alias("source_table"),
         F.col(domain.key).alias("record_id"),
-        F.col(VERDICT).alias("error_type"),
+        error_type.alias("error_type"),
         message.alias("error_message"),
         load_time.alias("load_time"),
     )
