@@ -271,11 +271,22 @@ def _expired(dim: str, silver: str, key: str) -> str:
 _build_chain()
 
 
-def _sql(select: str) -> str:
-    chain = ",\n".join(f"{name} AS ({body})" for name, body in _CTES.items())
+def _sql(select: str, bodies: dict[str, str] = _CTES) -> str:
+    chain = ",\n".join(f"{name} AS ({body})" for name, body in bodies.items())
     return f"WITH {chain}\n{select}"
 
 
+def _delivered(select: str) -> str:
+    """As ``_sql``, with admissions delivered once per key, as the pipeline run does."""
+    bodies: dict[str, str] = {}
+    for name, body in _CTES.items():
+        if name == "raw_admissions":
+            bodies["repeated_admissions"] = body
+            body = _latest("admissions", "SELECT * FROM repeated_admissions")
+        bodies[name] = body
+    return _sql(select, bodies)
+
+
 def _log(name: str) -> str:
     both = f"SELECT * FROM data_errors_{name}"
     if _MESSAGES[name][1]:
@@ -318,6 +329,58 @@ def _masked(name: str, columns: str) -> str:
 _ATTRIBUTES = "patient_id, " + ", ".join(_COLUMNS["patients"].split())
 
 
+def _pipeline_sql() -> dict[str, str]:
+    loaded = {
+        "patients": "Patients loaded",
+        "doctors": "Doctors loaded",
+        "admissions": "Admissions loaded",
+        "procedures": "Procedures loaded",
+        "billing": "Billing loaded",
+    }
+    counts = " UNION ALL ".join(
+        f"SELECT source_table, '{loaded[name]}' AS status, verdict, CAST(n AS BIGINT) AS n FROM ({_verdicts(name)}) "
+        f"UNION ALL SELECT '{name}', '{loaded[name]}', 'rows', count(*) FROM raw_{name}"
+        for name in _KEYS
+    )
+    logs = " UNION ALL ".join(_log(name) for name in _KEYS)
+    # The second delivery fails the same rules once more and is logged again.
+    logs += f" UNION ALL {_log('patients')} UNION ALL {_log('doctors')}"
+    patients = "patient_id, " + ", ".join(_COLUMNS["patients"].split())
+    doctors = "doctor_id, " + ", ".join(_COLUMNS["doctors"].split())
+
+    def versions(columns: str, name: str, moved: str) -> str:
+        return (
+            f"SELECT {columns}, DATE '2026-03-17' AS effective_start_date, DATE '2026-03-17' AS effective_end_date, "
+            f"'N' AS current_flag FROM silver_{name} UNION ALL "
+            f"SELECT {columns}, DATE '2026-03-18', CAST(NULL AS DATE), 'Y' FROM silver_{moved}"
+        )
+
+    admission = "admission_id, " + ", ".join(_COLUMNS["admissions"].split())
+    return {
+        "csv_scan": _sql("SELECT * EXCLUDE (load_time) FROM raw_patients"),
+        "pipeline_status": _delivered(counts),
+        "pipeline_exceptions": _delivered(f"SELECT * EXCLUDE (load_time) FROM ({logs})"),
+        "pipeline_silver_patients": _delivered(f"SELECT {patients} FROM silver_patients2"),
+        "pipeline_silver_admissions": _delivered(f"SELECT {admission} FROM silver_admissions"),
+        "pipeline_dim_patient": _delivered(versions(patients, "patients", "patients2")),
+        "pipeline_dim_doctor": _delivered(versions(doctors, "doctors", "doctors2")),
+        "pipeline_fact_billing": _delivered("SELECT * FROM fact_billing"),
+        "pipeline_workload": _delivered(
+            "SELECT doctor_id, round(avg(daily_work), 6) AS doctor_workload_index FROM daily GROUP BY doctor_id"
+        ),
+        "pipeline_scores": _delivered(
+            "SELECT 'bed_occ' AS view, round(CAST(sum(date_diff('hour', admission_time, discharge_time)) AS DOUBLE) "
+            "/ nullif(count(DISTINCT bed_no) * 24, 0), 6) AS score FROM fact_admissions UNION ALL "
+            "SELECT 'att', round(avg(date_diff('hour', admission_time, discharge_time)), 6) FROM fact_admissions "
+            "UNION ALL SELECT 'surgey_efficiny', round(CAST(count(CASE WHEN "
+            "abs(date_diff('minute', scheduled_time, start_time)) <= 10 THEN 1 END) AS DOUBLE) * 100 "
+            "/ nullif(count(*), 0), 6) FROM fact_procedures UNION ALL "
+            "SELECT 'kpi_data_quality', round(1 - CAST(count(*) FILTER (WHERE total_amount < 0 OR "
+            "total_amount > 100000) AS DOUBLE) / nullif(count(*), 0), 6) FROM fact_billing"
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
     level_two = {
         name: _sql(f"SELECT * FROM business_errors_{name}") for name in ("admissions", "procedures", "billing")
@@ -479,6 +542,7 @@ def all_sql() -> dict[str, str]:
         "kpi_workload": _sql(
             "SELECT doctor_id, round(avg(daily_work), 6) AS doctor_workload_index FROM daily GROUP BY doctor_id"
         ),
+        **_pipeline_sql(),
         "kpi_billing_accuracy": _sql(
             "SELECT round(1 - CAST(count(*) FILTER (WHERE total_amount < 0 OR total_amount > 100000) AS DOUBLE) "
             "/ nullif(CAST(count(*) AS DOUBLE), 0), 6) AS billing_accuracy_index FROM fact_billing"

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.checks import derive
+from wardflow.checks.full_run import completed_run, scratch_folder, write_drop
 from wardflow.domains import DOMAINS
 from wardflow.functions import hours_between, minutes_between, try_date, try_number, try_time
 from wardflow.operators import audit, lookups, masking, rules, scd2
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.merge import merge
 from wardflow.plans import facts, kpis
+from wardflow.sources.csv_drop import scan_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -439,3 +441,76 @@ def kpi_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def kpi_billing_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(kpis.billing_accuracy(_fact(spark, sf_dir, "billing")), "billing_accuracy_index")
+
+
+# ---- files and the streaming pipeline --------------------------------------
+
+
+@_query
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients written as CSV (commas and quotes inside fields) and scanned back."""
+    folder = scratch_folder(spark)
+    write_drop(derive.raw_patients(spark, sf_dir), "patients", folder)
+    domain = DOMAINS["patients"]
+    return scan_csv(spark, domain, folder).select(*domain.column_names)
+
+
+@_query
+def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status line and outcome counts per domain of the first run."""
+    _, report = completed_run(spark, sf_dir)
+    rows = [(load.domain, load.status, verdict, n) for load in report.loads for verdict, n in load.counts.items()]
+    return spark.createDataFrame(rows, "source_table string, status string, verdict string, n bigint")
+
+
+@_query
+def pipeline_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.exceptions().drop("load_time")
+
+
+@_query
+def pipeline_silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.silver("patients").drop("load_time")
+
+
+@_query
+def pipeline_silver_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.silver("admissions").drop("load_time")
+
+
+@_query
+def pipeline_dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("dim_patient")
+
+
+@_query
+def pipeline_dim_doctor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("dim_doctor")
+
+
+@_query
+def pipeline_fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("fact_billing")
+
+
+@_query
+def pipeline_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return _rounded(wh.read_table("kpi_doctor_workload"), "doctor_workload_index")
+
+
+@_query
+def pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four single-value indicators, one row each."""
+    wh, _ = completed_run(spark, sf_dir)
+    scores = [
+        wh.read_table(view).toDF("score").select(F.lit(view).alias("view"), F.round("score", 6).alias("score"))
+        for view in ("bed_occ", "att", "surgey_efficiny", "kpi_data_quality")
+    ]
+    return reduce(DataFrame.unionAll, scores)
