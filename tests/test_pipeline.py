@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 
@@ -10,7 +11,7 @@ from wardflow.sources.csv_drop import file_inventory, scan_csv
 from wardflow.sources.warehouse import Warehouse
 from wardflow.streaming.ingest import ingest_available
 from wardflow.streaming.loads import load_batch, load_domain
-from wardflow.streaming.pipeline import refresh_dimensions, run_pipeline
+from wardflow.streaming.pipeline import refresh_dimensions, run_pipeline, start_schedule
 
 DAY1, DAY2 = dt.date(2026, 3, 17), dt.date(2026, 3, 18)
 
@@ -207,3 +208,57 @@ def test_csv_details(spark, tmp_path):
     assert rows["1"].phone is None and rows["1"]._corrupt_record is None
     assert rows["2"].status is None and rows["2"]._corrupt_record == "2,short"
     assert rows["3"].status == "h" and rows["3"]._corrupt_record is not None
+
+
+def test_shuffled_lookups_give_the_same_tables(spark, tmp_path):
+    """A batch too large to broadcast its keys takes the salted shuffle joins."""
+    wh = Warehouse(spark, str(tmp_path))
+    for delivery, suffix in ((MASTER, "master"), (INCREMENT, "inc")):
+        deliver(tmp_path, delivery, suffix)
+        ingest_available(wh)
+        for name in ("patients", "doctors"):
+            load_domain(wh, name, small_batch=0)
+        for name in ("admissions", "procedures", "billing"):
+            load_domain(wh, name, small_batch=0, salted=True, hot_rows=1)
+    assert {d: ids(wh, d) for d in DOMAINS} == {
+        "patients": [1, 5, 6], "doctors": [10, 11], "admissions": [100, 101, 107],
+        "procedures": [500, 501, 505], "billing": [900, 901, 905],
+    }
+    assert wh.exceptions().count() == 16
+
+
+def test_schedule_runs_the_pipeline(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    deliver(tmp_path, {"doctors": MASTER["doctors"]}, "master")
+    query = start_schedule(wh, every="1 second")
+    try:
+        for _ in range(120):
+            if query.exception() or wh.silver_table("doctors").last():
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert ids(wh, "doctors") == [10, 11]
+
+
+def test_ingest_takes_only_new_files_in_bounded_batches(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    deliver(tmp_path, {"doctors": MASTER["doctors"]}, "master")
+    deliver(tmp_path, {"doctors": INCREMENT["doctors"]}, "inc")
+    ingest_available(wh, ["doctors"], maxFilesPerTrigger="1")
+    first = wh.landing("doctors").select("load_time", "_source_file").distinct().collect()
+    assert len({r.load_time for r in first}) == 2 and len({r._source_file for r in first}) == 2
+    ingest_available(wh, ["doctors"])
+    assert wh.raw("doctors").count() == 4
+    deliver(tmp_path, {"doctors": INCREMENT["doctors"]}, "inc2")
+    ingest_available(wh, ["doctors"])
+    assert wh.raw("doctors").count() == 5
+
+
+def test_malformed_lines_can_be_found(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    folder = tmp_path / "drops" / "doctors"
+    folder.mkdir(parents=True)
+    (folder / "d.csv").write_text("doctor_id,name,etc\n1,short\n")
+    ingest_available(wh, ["doctors"])
+    assert [r._corrupt_record for r in wh.malformed("doctors").collect()] == ["1,short"]

@@ -1,85 +1,125 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.sources import folders
-from wardflow.sources.tables import Segment, SegmentedTable
+from wardflow.sources.tables import Reach, Segment, SegmentedTable
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
 
 
 @pytest.fixture
-def make(spark, tmp_path):
-    def build(append_only: bool) -> SegmentedTable:
-        return SegmentedTable(spark, str(tmp_path / "table"), SCHEMA, "k", append_only)
+def table(spark, tmp_path):
+    return SegmentedTable(spark, str(tmp_path / "table"), SCHEMA, "k")
 
-    return build
 
-
-def rows(spark, **values):
-    return spark.createDataFrame([(int(k[1:]), v) for k, v in values.items()], SCHEMA)
+def rows(spark, update=(), **values):
+    """k1="a" is the row (1, "a"); keys listed in ``update`` are new images."""
+    data = [(int(k[1:]), v, int(k[1:]) in update) for k, v in values.items()]
+    return spark.createDataFrame(data, T.StructType([*SCHEMA.fields, T.StructField("_update", T.BooleanType())]))
 
 
 def content(df):
-    return {r.k: r.v for r in df.collect()}
+    found = [(r.k, r.v) for r in df.collect()]
+    assert len(found) == len(dict(found))
+    return dict(found)
 
 
-def test_newest_image_wins_and_folding_keeps_the_state(spark, make):
-    table = make(append_only=False)
-    assert table.read().count() == 0 and table.is_empty()
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def fill(spark, table):
     table.write(rows(spark, k1="a", k2="b"), 1)
-    table.write(rows(spark, k2="c"), 2)
-    table.write(rows(spark, k2="d", k3="e"), 3)
-    expected = {1: "a", 2: "d", 3: "e"}
-    assert content(table.read()) == expected
+    table.write(rows(spark, update=[2], k2="c"), 2)
+    table.write(rows(spark, update=[2], k2="d", k3="e"), 3)
+
+
+@pytest.mark.parametrize("bound", [0, 100])
+def test_newest_image_wins(spark, table, bound):
+    table.broadcast_rows = bound
+    assert table.read().count() == 0 and table.is_empty()
+    fill(spark, table)
+    assert content(table.read()) == {1: "a", 2: "d", 3: "e"}
     assert sorted(r.k for r in table.keys().collect()) == [1, 2, 3]
     assert content(table.read(before=3)) == {1: "a", 2: "c"}
-    assert table.fold(share=0.0) == Segment(0, 3)
-    assert table.live() == [Segment(0, 3)] and content(table.read()) == expected
+    assert [(s.rows, s.updates) for s in table.live()] == [(2, 0), (1, 1), (2, 1)]
+
+
+def test_reading_with_few_updates_broadcasts_only_them(spark, table):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fill(spark, table)
+        assert "Exchange hashpartitioning" not in plan(table.read())
+        table.broadcast_rows = 0
+        assert "Exchange hashpartitioning" in plan(table.read())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_base_is_folded_once_updates_outgrow_their_bounds(spark, table):
+    fill(spark, table)
+    assert table.fold() is None
+    table.broadcast_rows = 1
+    assert table.fold() == Segment(0, 3)
+    assert table.live() == [Segment(0, 3)] and content(table.read()) == {1: "a", 2: "d", 3: "e"}
     # A retry of load 3 still sees the state before it.
     assert content(table.read(before=3)) == {1: "a", 2: "c"}
-    table.write(rows(spark, k1="z"), 4)
+    table.write(rows(spark, update=[1], k1="z"), 4)
     assert content(table.read()) == {1: "z", 2: "d", 3: "e"}
 
 
-def test_prune_keeps_what_a_retry_needs(spark, make):
-    table = make(append_only=False)
-    for load in (1, 2, 3):
-        table.write(rows(spark, k1=f"v{load}"), load)
+def test_prune_keeps_what_a_retry_needs(spark, table):
+    table.broadcast_rows = 0
+    table.write(rows(spark, k1="v1"), 1)
+    for load in (2, 3):
+        table.write(rows(spark, update=[1], k1=f"v{load}"), load)
         table.fold(share=0.0)
     table.prune()
     assert content(table.read()) == {1: "v3"} and content(table.read(before=3)) == {1: "v2"}
     assert Segment(1, 1) not in table.committed()
 
 
-def test_append_only_table_folds_its_tail(spark, make):
-    table = make(append_only=True)
+def test_small_insert_segments_are_combined(spark, table):
     for load in range(1, 6):
         table.write(rows(spark, **{f"k{load}": str(load)}), load)
         table.fold(count=3)
     assert Segment(1, 3) in table.live() and Segment(1, 1) not in table.live()
     assert content(table.read()) == {n: str(n) for n in range(1, 6)}
     assert content(table.read(before=3)) == {1: "1", 2: "2"}
+    assert "Exchange" not in plan(table.read())
 
 
-def test_unfinished_segment_is_invisible(spark, make):
-    table = make(append_only=True)
+def test_unfinished_segment_is_invisible(spark, table):
     table.write(rows(spark, k1="a"), 1)
     table.write(rows(spark, k2="b"), 2)
-    folders.delete(spark, f"{table.path}/seg-2-2/_SUCCESS")
+    folders.delete(spark, f"{table.path}/seg-2-2/_rows-1-0")
     assert content(table.read()) == {1: "a"}
     table.write(rows(spark, k2="b"), 2)
     assert content(table.read()) == {1: "a", 2: "b"}
 
 
-def test_append_only_read_has_no_shuffle(spark, make):
-    table = make(append_only=True)
-    table.write(rows(spark, k1="a"), 1)
-    table.write(rows(spark, k2="b"), 2)
-    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+def test_reach_limits_what_is_read(spark, table):
+    fill(spark, table)
+    keys = spark.createDataFrame([(2,), (3,), (9,)], "k bigint")
+    assert content(table.read(reach=Reach(2, 9, keys))) == {2: "d", 3: "e"}
+    assert content(table.read(reach=Reach(1, 2))) == {1: "a", 2: "d"}
+    assert content(table.read(reach=Reach(None, None))) == {}
+    near = table.keys(reach=Reach(2, 9, keys))
+    assert sorted(r.k for r in near.collect()) == [2, 3]
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,2), LessThanOrEqual(k,9)" in plan(near) or (
+        "GreaterThanOrEqual(k,2)" in plan(near)
+    )
 
 
 def test_stage_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert folders.stage_folder(spark, "/some/root").startswith(shared)
+
+
+def test_replace_makes_the_rows_the_whole_table(spark, table):
+    fill(spark, table)
+    table.replace(table.read().withColumn("v", F.lit("n")).where("k > 1"), 4)
+    assert content(table.read()) == {2: "n", 3: "n"}

@@ -71,6 +71,7 @@ def mark_exists(
     flag: str,
     *,
     parents_unique: bool = False,
+    parents_small: bool = False,
     parents_empty: Column | bool | None = None,
     row_id: str | None = None,
     salted: bool | None = None,
@@ -78,6 +79,7 @@ def mark_exists(
 ) -> DataFrame:
     """Add the boolean ``flag``: is ``column`` among the one-column ``parents``?
 
+    ``parents_small`` says the caller has bounded their number: they are broadcast.
     ``row_id`` names a column that differs per row and is stable when a task
     reruns; the salted form makes one itself when none is given, which is
     stable if ``child`` reads files. ``salted`` forces either form.
@@ -92,6 +94,8 @@ def mark_exists(
         keys = keys.distinct()
     keys = keys.withColumn(hit, F.lit(True))
 
+    if parents_small:
+        keys, salted = F.broadcast(keys), False
     if salted is None:
         salted = not fits_broadcast(keys)
     if salted:

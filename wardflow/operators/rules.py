@@ -101,6 +101,7 @@ def judge(
     salted: bool | None = None,
     hot_rows: int = HOT_ROWS,
     parents_unique: bool = False,
+    parents_small: bool = False,
     parents_empty: dict[str, Column | bool] | None = None,
 ) -> DataFrame:
     """Add the outcome of both levels to every landing row.
@@ -113,7 +114,7 @@ def judge(
     ok1, ok2 = type_rules(domain), F.lit(True)
     rows = raw
     if domain.has_business_rules:
-        forms = needs_salt(parents, domain, salted)
+        forms = needs_salt(parents, domain, False if parents_small else salted)
         row_id = None
         if any(forms.values()):
             # Numbered at the scan, before any shuffle, so a rerun task
@@ -127,6 +128,7 @@ def judge(
                 parents[fk.parent],
                 f"_found_{fk.column}",
                 parents_unique=parents_unique,
+                parents_small=parents_small,
                 parents_empty=(parents_empty or {}).get(fk.parent),
                 row_id=row_id,
                 salted=forms[fk.column],

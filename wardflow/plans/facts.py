@@ -1,4 +1,4 @@
-"""Fact projections of the silver tables."""
+"""Fact projections of the silver tables; ``extra`` columns are carried along."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fact_admissions(silver: DataFrame) -> DataFrame:
+def fact_admissions(silver: DataFrame, *extra: str) -> DataFrame:
     return silver.select(
         "admission_id",
         "patient_id",
@@ -17,10 +17,11 @@ def fact_admissions(silver: DataFrame) -> DataFrame:
         "discharge_time",
         "department",
         "bed_no",
+        *extra,
     )
 
 
-def fact_procedures(silver: DataFrame) -> DataFrame:
+def fact_procedures(silver: DataFrame, *extra: str) -> DataFrame:
     return silver.select(
         "procedure_id",
         "admission_id",
@@ -29,15 +30,16 @@ def fact_procedures(silver: DataFrame) -> DataFrame:
         "start_time",
         "end_time",
         "operating_room",
+        *extra,
     )
 
 
-def fact_billing(silver: DataFrame) -> DataFrame:
-    return silver.select("bill_id", "admission_id", "patient_id", "total_amount", "billing_time")
+def fact_billing(silver: DataFrame, *extra: str) -> DataFrame:
+    return silver.select("bill_id", "admission_id", "patient_id", "total_amount", "billing_time", *extra)
 
 
 # Silver domain -> its fact projection.
-FACTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+FACTS: dict[str, Callable[..., DataFrame]] = {
     "admissions": fact_admissions,
     "procedures": fact_procedures,
     "billing": fact_billing,

@@ -23,16 +23,18 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def committed(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below ``path`` whose write job finished."""
+def markers(spark: SparkSession, path: str, pattern: str) -> list[tuple[str, str]]:
+    """(folder, file) names of the marker files in the folders below ``path``."""
     fs, _ = _open(spark, path)
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS"))
-    return [s.getPath().getParent().getName() for s in found or []]
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/{pattern}"))
+    paths = [status.getPath() for status in found or []]
+    return [(p.getParent().getName(), p.getName()) for p in paths]
 
 
-def size(spark: SparkSession, path: str) -> int:
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
     fs, p = _open(spark, path)
-    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    fs.create(p, True).close()
 
 
 def make(spark: SparkSession, path: str) -> None:

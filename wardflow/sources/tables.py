@@ -5,52 +5,83 @@ is out of the question. A table is therefore a folder of immutable *segments*
 ``seg-<low>-<high>``, each the outcome of the loads numbered low to high, and a
 load adds one segment holding only the rows it inserted or changed.
 
-* A segment counts once its write job has finished (``_SUCCESS``), so readers
-  never see half a load, and a retried load simply rewrites its own segment.
-* ``append_only`` tables (no update on match) have disjoint segments: reading
-  them is a union, without any shuffle.
-* Other tables hold full new images of changed keys; the newest image wins.
-  Once changes outgrow a share of the base they are folded into a new base, so
-  a row is rewritten a bounded number of times and reads stay close to a scan.
+* A segment counts once its marker file is there, which is written last. So
+  readers never see half a load, and a retried load rewrites its own segment.
+* A changed row is stored as a full new image flagged as an update; the older
+  image of its key no longer counts. Inserts supersede nothing.
+* The marker says how many updates the segment holds. Readers thus know, before
+  running anything, how many rows can supersede others: none means a plain
+  union of scans, up to ``BROADCAST_ROWS`` means these keys are broadcast and
+  the table is not shuffled, and only beyond that both sides are.
+* ``fold`` writes a fresh base when updates have outgrown both that bound and a
+  share of the table, so each row is rewritten a bounded number of times.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.operators.dedup import latest_per_key
 from wardflow.sources import folders
 
 SEQUENCE = "_seq"
-FOLD_SHARE = 0.2  # fold changes into the base beyond this share of its size
-FOLD_COUNT = 32  # fold this many single-load segments of an append-only table
+UPDATE = "_update"
+BROADCAST_ROWS = 1_000_000  # keys of 8 bytes: some tens of MB once hashed
+FOLD_SHARE = 0.2  # updates beyond this share of the segments' rows call for a new base
+FOLD_COUNT = 64  # small segments of single loads that are combined into one
 
 
 @dataclass(frozen=True, order=True)
 class Segment:
     low: int
     high: int
+    rows: int = field(default=0, compare=False)
+    updates: int = field(default=0, compare=False)
 
     @property
     def name(self) -> str:
         return f"seg-{self.low}-{self.high}"
 
 
+@dataclass(frozen=True)
+class Reach:
+    """The part of a table a batch can touch: a key range and, if the batch is
+    small, its keys themselves (at most ``BROADCAST_ROWS``, counted)."""
+
+    low: int | None
+    high: int | None
+    keys: DataFrame | None = None
+
+    def narrow(self, rows: DataFrame, key: str) -> DataFrame:
+        """The range prunes Parquet row groups; the keys are matched in the scan
+        stage itself, so what is left to shuffle is no larger than the batch."""
+        if self.low is None:
+            return rows.where(F.lit(False))
+        near = rows.where(F.col(key).between(self.low, self.high))
+        if self.keys is None:
+            return near
+        wanted = F.broadcast(self.keys.toDF("_wanted"))
+        return near.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
+
+
 @dataclass
 class SegmentedTable:
     spark: SparkSession
     path: str
     schema: T.StructType
     key: str
-    append_only: bool
+    broadcast_rows: int = BROADCAST_ROWS
 
     def committed(self) -> set[Segment]:
-        names = folders.committed(self.spark, self.path)
-        return {Segment(*map(int, n.split("-")[1:])) for n in names if n.startswith("seg-")}
+        found = set()
+        for folder, marker in folders.markers(self.spark, self.path, "_rows-*"):
+            low, high = folder.removeprefix("seg-").split("-")
+            rows, updates = marker.removeprefix("_rows-").split("-")
+            found.add(Segment(int(low), int(high), int(rows), int(updates)))
+        return found
 
     def live(self, before: int | None = None) -> list[Segment]:
         """Segments that make up the table, oldest first: from the newest load
@@ -67,73 +98,89 @@ class SegmentedTable:
     def last(self) -> int:
         return max((s.high for s in self.committed()), default=0)
 
-    def scan(self, segments: list[Segment]) -> DataFrame:
-        stored = T.StructType([*self.schema.fields, T.StructField(SEQUENCE, T.LongType())])
+    def scan(self, segments: list[Segment], reach: Reach | None = None) -> DataFrame:
+        stored = T.StructType(
+            [*self.schema.fields, T.StructField(SEQUENCE, T.LongType()), T.StructField(UPDATE, T.BooleanType())]
+        )
         if not segments:
             return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(*[f"{self.path}/{s.name}" for s in segments])
-
-    def _images(self, segments: list[Segment]) -> DataFrame:
-        """Newest image of every key."""
-        if self.append_only or len(segments) < 2:
-            return self.scan(segments)
-        changes = self.scan(segments[1:])
-        if len(segments) > 2:
-            changes = latest_per_key(changes, self.key, [F.desc(SEQUENCE)])
-        base = self.scan(segments[:1])
-        return base.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        return self._images(self.live(before)).select(*self.schema.names)
-
-    def keys(self, before: int | None = None) -> DataFrame:
-        """Every key once. No image has to be resolved for it: one column is scanned."""
-        segments = self.live(before)
-        keys = self.scan(segments).select(self.key)
-        return keys if self.append_only or len(segments) < 2 else keys.distinct()
+        rows = self.spark.read.schema(stored).parquet(*[f"{self.path}/{s.name}" for s in segments])
+        return rows if reach is None else reach.narrow(rows, self.key)
+
+    def _images(self, segments: list[Segment], reach: Reach | None = None) -> DataFrame:
+        """Rows that no later update supersedes."""
+        rows = self.scan(segments, reach)
+        updates = sum(s.updates for s in segments)
+        if not updates:
+            return rows
+        newer = self.scan([s for s in segments if s.updates], reach).where(UPDATE)
+        newer = newer.select(F.col(self.key).alias("_key"), F.col(SEQUENCE).alias("_newer"))
+        if updates <= self.broadcast_rows:
+            newer = F.broadcast(newer)
+        superseded = (F.col(self.key) == F.col("_key")) & (F.col("_newer") > F.col(SEQUENCE))
+        return rows.join(newer, superseded, "left_anti")
+
+    def read(self, before: int | None = None, reach: Reach | None = None) -> DataFrame:
+        return self._images(self.live(before), reach).select(*self.schema.names)
+
+    def keys(self, before: int | None = None, reach: Reach | None = None) -> DataFrame:
+        """Every key once: each was inserted exactly once, so nothing is shuffled."""
+        return self.scan(self.live(before), reach).where(~F.col(UPDATE)).select(self.key)
 
     def is_empty(self, before: int | None = None) -> bool:
-        return self.scan(self.live(before)).limit(1).isEmpty()
+        return not any(s.rows for s in self.live(before))
 
-    def write(self, rows: DataFrame, sequence: int) -> None:
-        """Add the change set of load ``sequence``; a retry replaces it."""
-        self.write_segment(rows, Segment(sequence, sequence))
+    def write(self, rows: DataFrame, sequence: int) -> Segment:
+        """Add the change set of load ``sequence``; a retry replaces it. A boolean
+        column ``_update``, if present, tells new images from inserts."""
+        return self._write(rows, Segment(sequence, sequence))
 
-    def replace(self, rows: DataFrame, sequence: int) -> None:
+    def replace(self, rows: DataFrame, sequence: int) -> Segment:
         """Make ``rows`` the whole table as of load ``sequence``."""
-        self.write_segment(rows, Segment(0, sequence))
-
-    def write_segment(self, rows: DataFrame, segment: Segment) -> None:
-        numbered = rows.select(*self.schema.names, F.lit(segment.high).cast("bigint").alias(SEQUENCE))
-        numbered.write.mode("overwrite").parquet(f"{self.path}/{segment.name}")
+        return self._write(rows.drop(UPDATE), Segment(0, sequence))
+
+    def copy(self, rows: DataFrame, segment: Segment) -> Segment:
+        """Store rows derived one to one from another table's segment."""
+        return self._write(rows, segment)
+
+    def _write(self, rows: DataFrame, segment: Segment) -> Segment:
+        update = F.col(UPDATE) if UPDATE in rows.columns else F.lit(False)
+        sequence = F.lit(segment.high).cast("bigint")
+        stored = rows.select(*self.schema.names, sequence.alias(SEQUENCE), update.alias(UPDATE))
+        counts = Observation()
+        stored = stored.observe(
+            counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(UPDATE)).alias("updates")
+        )
+        folder = f"{self.path}/{segment.name}"
+        stored.write.mode("overwrite").parquet(folder)
+        done = Segment(segment.low, segment.high, counts.get["rows"], counts.get["updates"])
+        folders.touch(self.spark, f"{folder}/_rows-{done.rows}-{done.updates}")
+        return done
 
     def fold(self, share: float = FOLD_SHARE, count: int = FOLD_COUNT) -> Segment | None:
         """Combine segments if that is due; returns the new one."""
         segments = self.live()
-        if self.append_only:
-            tail = []
-            for segment in reversed(segments):
-                if segment.low != segment.high:
-                    break
-                tail.insert(0, segment)
-            if len(tail) < count:
-                return None
-            merged, rows = Segment(tail[0].low, tail[-1].high), self.scan(tail)
-        else:
-            if len(segments) < 2:
-                return None
-            sizes = [folders.size(self.spark, f"{self.path}/{s.name}") for s in segments]
-            if sum(sizes[1:]) <= share * sizes[0]:
-                return None
-            merged, rows = Segment(0, segments[-1].high), self._images(segments)
-        self.write_segment(rows, merged)
-        return merged
+        updates = sum(s.updates for s in segments)
+        if updates > self.broadcast_rows and updates > share * sum(s.rows for s in segments):
+            rows = self._images(segments)
+            # Clustered by key, so that a key range reads few row groups.
+            base = rows.repartitionByRange(self.key).sortWithinPartitions(self.key)
+            return self._write(base.drop(UPDATE), Segment(0, segments[-1].high))
+        if updates:
+            return None  # images are resolved per load number; keep the segments apart
+        tail: list[Segment] = []
+        for segment in reversed(segments):
+            if segment.low != segment.high:
+                break
+            tail.insert(0, segment)
+        if len(tail) < count:
+            return None
+        return self._write(self.scan(tail), Segment(tail[0].low, tail[-1].high))
 
     def prune(self) -> list[Segment]:
         """Delete segments that neither the table nor a retry of its last load needs."""
-        committed = self.committed()
         needed = set(self.live()) | set(self.live(before=self.last()))
-        unused = sorted(committed - needed)
+        unused = sorted(self.committed() - needed)
         for segment in unused:
             folders.delete(self.spark, f"{self.path}/{segment.name}")
         return unused

@@ -104,7 +104,6 @@ class Warehouse:
             f"{self.root}/silver/{name}",
             domain.silver_schema(),
             domain.key,
-            append_only=not domain.update_columns,
         )
 
     def silver(self, name: str, role: str | None = None) -> DataFrame:
@@ -124,9 +123,7 @@ class Warehouse:
     def fact_table(self, name: str) -> SegmentedTable:
         silver = self.silver_table(name)
         schema = FACTS[name](self.spark.createDataFrame([], silver.schema)).schema
-        return SegmentedTable(
-            self.spark, f"{self.root}/gold/fact_{name}", schema, silver.key, silver.append_only
-        )
+        return SegmentedTable(self.spark, f"{self.root}/gold/fact_{name}", schema, silver.key)
 
     def fact(self, name: str) -> DataFrame:
         return self.fact_table(name).read()
@@ -146,14 +143,14 @@ class Warehouse:
         """Current versions, replaced by every refresh."""
         domain = DOMAINS[DIMENSIONS[dim]]
         return SegmentedTable(
-            self.spark, f"{self.root}/gold/{dim}/current", self._dim_schema(domain), domain.key, False
+            self.spark, f"{self.root}/gold/{dim}/current", self._dim_schema(domain), domain.key
         )
 
     def dim_history(self, dim: str) -> SegmentedTable:
         """Closed versions, only ever added to."""
         domain = DOMAINS[DIMENSIONS[dim]]
         return SegmentedTable(
-            self.spark, f"{self.root}/gold/{dim}/history", self._dim_schema(domain), domain.key, True
+            self.spark, f"{self.root}/gold/{dim}/history", self._dim_schema(domain), domain.key
         )
 
     def dim(self, dim: str) -> DataFrame:

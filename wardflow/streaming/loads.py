@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.domains import DOMAINS, SOURCE_FILE, SOURCE_MODIFIED, Domain
+from wardflow.functions.casts import try_key
 from wardflow.operators import rules
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.merge import merge_changes
 from wardflow.sources import folders
 from wardflow.sources.exception_log import write_exceptions
+from wardflow.sources.tables import BROADCAST_ROWS, Reach
 from wardflow.sources.warehouse import LOADS_PER_GENERATION, Warehouse
 
 LANDED_FILE = "landed_file"
@@ -52,6 +54,22 @@ def _counted(judged: DataFrame, counts: Observation) -> DataFrame:
     )
 
 
+def reach_of(rows: DataFrame, columns: list[str], small_batch: int) -> dict[str, Reach]:
+    """Per column, what of the table it points to these rows can touch."""
+    keys = {c: try_key(F.col(c)) for c in columns}
+    ends = [f(k).alias(f"{f.__name__}_{c}") for c, k in keys.items() for f in (F.min, F.max)]
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), *ends).first()
+    small = seen["n"] <= small_batch
+    return {
+        c: Reach(
+            seen[f"min_{c}"],
+            seen[f"max_{c}"],
+            rows.select(k.alias(c)).where(F.col(c).isNotNull()).distinct() if small else None,
+        )
+        for c, k in keys.items()
+    }
+
+
 def load_batch(
     wh: Warehouse,
     domain: Domain,
@@ -60,16 +78,23 @@ def load_batch(
     *,
     strict: bool = False,
     log_time: Column | None = None,
+    small_batch: int = BROADCAST_ROWS,
     **lookup_options,
 ) -> dict[str, int]:
     """Load one set of landing rows as load number ``sequence``.
 
+    The tables may be any number of times larger than the batch. A batch of up
+    to ``small_batch`` rows never makes them shuffle: its keys are broadcast to
+    the scans of the parents and of the target. A larger one is joined to them
+    by shuffles, with hot references salted.
+
     Repeating a load with the same number gives the same tables: the log folder
     and the segment are replaced, and the merge looks at the state before it.
     """
     now = F.current_timestamp().cast("timestamp_ntz") if log_time is None else log_time
     rows = batch.select(*domain.column_names, "load_time", SOURCE_MODIFIED, SOURCE_FILE)
     silver = wh.silver_table(domain.name)
+    reach = reach_of(rows, [domain.key, *(fk.column for fk in domain.foreign_keys)], small_batch)
     counts = Observation()
     staged_path = None
 
@@ -78,9 +103,10 @@ def load_batch(
         judged = rules.judge(
             rows,
             domain,
-            {name: table.keys() for name, table in parent_tables.items()},
+            {fk.parent: parent_tables[fk.parent].keys(reach=reach[fk.column]) for fk in domain.foreign_keys},
             strict=strict,
             parents_unique=True,
+            parents_small=all(reach[fk.column].keys is not None for fk in domain.foreign_keys),
             parents_empty={name: table.is_empty() for name, table in parent_tables.items()},
             **lookup_options,
         )
@@ -102,7 +128,8 @@ def load_batch(
     write_exceptions(exceptions, wh.exceptions_path, domain, sequence)
     ties = (SOURCE_MODIFIED, SOURCE_FILE)
     newest = latest_per_key(rules.typed(accepted, domain, *ties), domain.key, ties=ties).drop(*ties)
-    target = silver.read(before=sequence)
+    find = silver.read if domain.update_columns else silver.keys
+    target = find(before=sequence, reach=reach[domain.key])
     silver.write(merge_changes(target, newest, domain.key, domain.update_columns), sequence)
     silver.fold()
     if staged_path:
