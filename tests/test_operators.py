@@ -234,6 +234,18 @@ def test_dedup_keeps_one_row_per_task_before_the_shuffle(spark):
     assert text.index("Exchange hashpartitioning") < partial  # printed top-down: below the exchange
 
 
+def test_dedup_and_merge_share_one_shuffle_of_the_source(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        source = spark.range(100).select((F.col("id") % 30).alias("k"), F.lit("n").alias("v"), F.lit(1).alias("load_time"))
+        target = spark.range(50).select(F.col("id").alias("k"), F.lit("o").alias("v"), F.lit(0).alias("load_time"))
+        for updates in ((), ("v",)):
+            text = plan(merge_changes(target, latest_per_key(source, "k"), "k", updates))
+            assert text.count("Exchange hashpartitioning") == 2  # one per side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 TABLE = st.dictionaries(st.integers(1, 8), st.tuples(st.sampled_from([None, "p", "q"]), st.integers(0, 9)), max_size=8)
 
 

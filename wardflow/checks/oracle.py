@@ -360,6 +360,21 @@ def _pipeline_sql() -> dict[str, str]:
         "csv_scan": _sql("SELECT * EXCLUDE (load_time) FROM raw_patients"),
         "pipeline_status": _delivered(counts),
         "pipeline_exceptions": _delivered(f"SELECT * EXCLUDE (load_time) FROM ({logs})"),
+        "pipeline_landing_patients": _delivered(
+            f"SELECT {patients} FROM raw_patients UNION ALL SELECT {patients} FROM raw_patients2"
+        ),
+        "pipeline_exception_summary": _delivered(
+            f"SELECT source_table, error_type, count(*) AS failures FROM ({logs}) GROUP BY source_table, error_type"
+        ),
+        "pipeline_silver_doctors": _delivered(f"SELECT {doctors} FROM silver_doctors2"),
+        "pipeline_silver_procedures": _delivered("SELECT * EXCLUDE (load_time) FROM silver_procedures"),
+        "pipeline_silver_billing": _delivered("SELECT * EXCLUDE (load_time) FROM silver_billing"),
+        "pipeline_fact_admissions": _delivered("SELECT * FROM fact_admissions"),
+        "pipeline_fact_procedures": _delivered("SELECT * FROM fact_procedures"),
+        "pipeline_masked_patients": _delivered(
+            f"SELECT * REPLACE ('****MASKED****' AS email, '****MASKED****' AS phone, "
+            f"'****MASKED****' AS insurance_id) FROM (SELECT {patients} FROM silver_patients2)"
+        ),
         "pipeline_silver_patients": _delivered(f"SELECT {patients} FROM silver_patients2"),
         "pipeline_silver_admissions": _delivered(f"SELECT {admission} FROM silver_admissions"),
         "pipeline_dim_patient": _delivered(versions(patients, "patients", "patients2")),

@@ -469,6 +469,55 @@ def pipeline_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.exceptions().drop("load_time")
 
 
+@_query
+def pipeline_landing_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both deliveries exactly as received."""
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.raw("patients").drop("load_time")
+
+
+@_query
+def pipeline_exception_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return audit.failure_summary(wh.exceptions())
+
+
+@_query
+def pipeline_silver_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.silver("doctors").drop("load_time")
+
+
+@_query
+def pipeline_silver_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.silver("procedures").drop("load_time")
+
+
+@_query
+def pipeline_silver_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.silver("billing").drop("load_time")
+
+
+@_query
+def pipeline_fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("fact_admissions")
+
+
+@_query
+def pipeline_fact_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("fact_procedures")
+
+
+@_query
+def pipeline_masked_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, _ = completed_run(spark, sf_dir)
+    return wh.read_table("silver_patients", role="ANALYST").drop("load_time")
+
+
 @_query
 def pipeline_silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh, _ = completed_run(spark, sf_dir)

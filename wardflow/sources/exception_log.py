@@ -10,7 +10,9 @@ from wardflow.sources import folders
 
 def write_exceptions(rows: DataFrame, path: str, domain: Domain, sequence: int) -> None:
     target = f"{path}/source_table={domain.name}/load={sequence}"
-    rows.drop("source_table").write.mode("overwrite").parquet(target)
+    # Rejects are few and come from every task: gather them into few files.
+    gathered = rows.drop("source_table").hint("rebalance")
+    gathered.write.mode("overwrite").parquet(target)
 
 
 def read_exceptions(spark: SparkSession, path: str) -> DataFrame:
