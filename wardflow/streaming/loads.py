@@ -42,32 +42,33 @@ def adaptive(session: SparkSession) -> Iterator[None]:
         session.conf.set(ADAPTIVE, before)
 
 
-def _counted(judged: DataFrame, counts: Observation) -> DataFrame:
-    """Count the outcomes while the rows pass by, without a job of its own."""
+def outcomes() -> list[Column]:
+    """Counts of judged rows per outcome."""
     ok1, ok2 = F.col(rules.TYPED_OK), F.col(rules.BUSINESS_OK)
-    return judged.observe(
-        counts,
-        F.count(F.lit(1)).alias("rows"),
+    return [
         F.count_if(ok1 & ok2).alias(rules.ACCEPTED),
         F.count_if(~ok1).alias(rules.DATA_ERROR),
         F.count_if(ok1 & ~ok2).alias(rules.BUSINESS_ERROR),
-    )
+    ]
 
 
-def reach_of(rows: DataFrame, columns: list[str], small_batch: int) -> dict[str, Reach]:
-    """Per column, what of the table it points to these rows can touch."""
+def measure(rows: DataFrame, columns: list[str], *counts: Column) -> dict[str, int]:
+    """Row count, smallest and largest key of every column, and further counts:
+    one aggregate over a few columns."""
     keys = {c: try_key(F.col(c)) for c in columns}
     ends = [f(k).alias(f"{f.__name__}_{c}") for c, k in keys.items() for f in (F.min, F.max)]
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), *ends).first()
-    small = seen["n"] <= small_batch
-    return {
-        c: Reach(
-            seen[f"min_{c}"],
-            seen[f"max_{c}"],
-            rows.select(k.alias(c)).where(F.col(c).isNotNull()).distinct() if small else None,
-        )
-        for c, k in keys.items()
-    }
+    return rows.agg(F.count(F.lit(1)).alias("rows"), *ends, *counts).first().asDict()
+
+
+def reach_of(rows: DataFrame, columns: list[str], seen: dict[str, int], small_batch: int) -> dict[str, Reach]:
+    """Per column, what of the table it points to the measured rows can touch."""
+    reach = {}
+    for c in columns:
+        keys = None
+        if seen["rows"] <= small_batch:
+            keys = rows.select(try_key(F.col(c)).alias(c)).where(F.col(c).isNotNull()).distinct()
+        reach[c] = Reach(seen[f"min_{c}"], seen[f"max_{c}"], keys)
+    return reach
 
 
 def load_batch(
@@ -94,11 +95,12 @@ def load_batch(
     now = F.current_timestamp().cast("timestamp_ntz") if log_time is None else log_time
     rows = batch.select(*domain.column_names, "load_time", SOURCE_MODIFIED, SOURCE_FILE)
     silver = wh.silver_table(domain.name)
-    reach = reach_of(rows, [domain.key, *(fk.column for fk in domain.foreign_keys)], small_batch)
-    counts = Observation()
+    columns = [domain.key, *(fk.column for fk in domain.foreign_keys)]
     staged_path = None
 
     if domain.has_business_rules:
+        seen = measure(rows, columns)
+        reach = reach_of(rows, columns, seen, small_batch)
         parent_tables = {fk.parent: wh.silver_table(fk.parent) for fk in domain.foreign_keys}
         judged = rules.judge(
             rows,
@@ -112,17 +114,22 @@ def load_batch(
         )
         # The lookups are the costly part and both outputs need them, so their
         # result is written once, split by verdict, to shared storage. Lost
-        # executors then cost a re-read, not the joins.
+        # executors then cost a re-read, not the joins. The outcomes are
+        # counted as the rows are written, where a repeated task counts once.
         staged_path = f"{folders.stage_folder(wh.spark, wh.root)}/{domain.name}-{sequence}"
-        staged_rows = rules.with_verdict(_counted(judged, counts))
+        counts = Observation()
+        staged_rows = rules.with_verdict(judged.observe(counts, *outcomes()))
         staged_rows.write.mode("overwrite").partitionBy(rules.VERDICT).parquet(staged_path)
+        seen |= counts.get
         staged = wh.spark.read.schema(staged_rows.schema).parquet(staged_path)
         exceptions = rules.staged_exceptions(staged, domain, now)
         accepted = staged.where(F.col(rules.VERDICT) == rules.ACCEPTED)
     else:
-        # Level 1 only: testing the rows twice is cheaper than writing them out.
+        # Level 1 only: testing the rows again is cheaper than writing them out.
         judged = rules.judge(rows, domain, strict=strict)
-        exceptions = rules.data_errors(_counted(judged, counts), domain, now)
+        seen = measure(judged, columns, *outcomes())
+        reach = reach_of(rows, columns, seen, small_batch)
+        exceptions = rules.data_errors(judged, domain, now)
         accepted = rules.select_accepted(rows, domain)
 
     write_exceptions(exceptions, wh.exceptions_path, domain, sequence)
@@ -135,11 +142,8 @@ def load_batch(
     if staged_path:
         folders.delete(wh.spark, staged_path)
 
-    outcome = dict(counts.get)
-    outcome[rules.DROPPED] = outcome["rows"] - sum(
-        outcome[v] for v in (rules.ACCEPTED, rules.DATA_ERROR, rules.BUSINESS_ERROR)
-    )
-    return outcome
+    settled = {v: seen[v] for v in (rules.ACCEPTED, rules.DATA_ERROR, rules.BUSINESS_ERROR)}
+    return {"rows": seen["rows"], **settled, rules.DROPPED: seen["rows"] - sum(settled.values())}
 
 
 def load_domain(wh: Warehouse, name: str, *, strict: bool = False, **options) -> LoadReport:
