@@ -16,7 +16,7 @@ from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.merge import merge, merge_changes
 
 QUICK = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

@@ -2,14 +2,16 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from pathlib import Path
 
 import pytest
 
 from tests.fixture_data import INCREMENT, MASTER, deliver
 from wardflow.domains import DOMAINS
 from wardflow.sources.csv_drop import file_inventory, scan_csv
+from wardflow.sources.tables import SegmentedTable
 from wardflow.sources.warehouse import Warehouse
-from wardflow.streaming.ingest import ingest_available
+from wardflow.streaming.ingest import ingest_available, start_ingest
 from wardflow.streaming.loads import load_batch, load_domain
 from wardflow.streaming.pipeline import refresh_dimensions, run_pipeline, start_schedule
 
@@ -262,3 +264,70 @@ def test_malformed_lines_can_be_found(spark, tmp_path):
     (folder / "d.csv").write_text("doctor_id,name,etc\n1,short\n")
     ingest_available(wh, ["doctors"])
     assert [r._corrupt_record for r in wh.malformed("doctors").collect()] == ["1,short"]
+
+
+def snapshot(wh: Warehouse):
+    logged = sorted((r.source_table, r.record_id, r.error_type) for r in wh.exceptions().collect())
+    return {d: sorted(map(repr, wh.silver(d).drop("load_time").collect())) for d in DOMAINS}, logged
+
+
+def test_load_interrupted_at_any_step_recovers(spark, tmp_path, monkeypatch):
+    """A failing step leaves the batch unconsumed; the next run repeats it and the
+    tables end up as if nothing had happened."""
+    from wardflow.streaming import loads
+
+    def build(root: Path, broken: dict[str, list[str]]) -> Warehouse:
+        wh = Warehouse(spark, str(root))
+        deliver(root, MASTER, "master")
+        ingest_available(wh)
+        for name in DOMAINS:
+            for step in broken.get(name, []):
+                with monkeypatch.context() as patch:
+                    patch.setattr(SegmentedTable if step == "fold" else loads, step, fail)
+                    with pytest.raises(Exception, match="executor gone"):
+                        load_domain(wh, name)
+            load_domain(wh, name)
+        return wh
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("executor gone")
+
+    smooth = build(tmp_path / "smooth", {})
+    rough = build(tmp_path / "rough", {"patients": ["fold"], "billing": ["write_exceptions", "merge_changes"]})
+    assert snapshot(rough) == snapshot(smooth)
+    assert all(wh.pending(d).isEmpty() for wh in (smooth, rough) for d in DOMAINS)
+
+
+def test_duplicates_are_logged_one_by_one(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    bad = MASTER["patients"][1]
+    deliver(tmp_path, {"patients": [bad, bad, bad, MASTER["patients"][0], MASTER["patients"][0]]}, "master")
+    ingest_available(wh, ["patients"])
+    load_domain(wh, "patients")
+    assert wh.exceptions().count() == 3 and ids(wh, "patients") == [1]
+
+
+def test_spellings_of_one_key_are_one_row(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    first = MASTER["patients"][0]
+    deliver(tmp_path, {"patients": [first, {**first, "patient_id": "01"}, {**first, "patient_id": " 1 "}]}, "m")
+    ingest_available(wh, ["patients"])
+    load_domain(wh, "patients")
+    assert ids(wh, "patients") == [1]
+
+
+def test_continuous_ingest_sees_files_as_they_arrive(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    deliver(tmp_path, {"doctors": MASTER["doctors"]}, "master")
+    query = start_ingest(wh, "doctors", every="1 second")
+    try:
+        for expected, delivery in ((3, None), (4, INCREMENT)):
+            if delivery:
+                deliver(tmp_path, {"doctors": delivery["doctors"]}, "inc")
+            for _ in range(60):
+                if wh.raw("doctors").count() >= expected:
+                    break
+                time.sleep(0.5)
+            assert wh.raw("doctors").count() == expected
+    finally:
+        query.stop()

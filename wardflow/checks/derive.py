@@ -9,11 +9,13 @@ itself, so every validation rule has rows to accept and rows to reject.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.domains import DOMAINS
+from wardflow.functions.sizing import planned_bytes
 from wardflow.operators import rules
 from wardflow.operators.dedup import latest_per_key
 
@@ -28,13 +30,15 @@ SECOND_DAY = dt.date(2026, 3, 18)
 _SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One that arrives in fewer splits than there are cores is
-    spread over them; such a table is small by definition, and a large one is
-    read as it is, without this shuffle."""
+    """A given table. One smaller than a usual split per core is spread over the
+    cores; a large one has splits enough and is read without this shuffle."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_BY and df.rdd.getNumPartitions() < cores:
+    if name in _SPREAD_BY and planned_bytes(df) < cores * SPLIT_BYTES:
         return df.repartition(cores, _SPREAD_BY[name])
     return df
 
@@ -185,6 +189,7 @@ def parents_of(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFra
     return keys
 
 
+@functools.cache  # one lazy plan, however many others build on it
 def accepted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parents = parents_of(spark, sf_dir, name)
     return rules.select_accepted(RAW[name](spark, sf_dir), DOMAINS[name], parents)

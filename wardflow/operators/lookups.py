@@ -92,6 +92,12 @@ def mark_exists(
     )
     if not parents_unique:
         keys = keys.distinct()
+    if parents_empty is None:
+        # Counting the same distinct keys lets Spark reuse their shuffle.
+        some = keys.limit(1) if parents_unique else keys
+        parents_empty = some.agg((F.count(F.lit(1)) == 0).alias("empty")).scalar()
+    elif isinstance(parents_empty, bool):
+        parents_empty = F.lit(parents_empty)
     keys = keys.withColumn(hit, F.lit(True))
 
     if parents_small:
@@ -103,10 +109,6 @@ def mark_exists(
     else:
         joined = rows.join(keys, F.col(key) == F.col(parent_key), "left")
 
-    if parents_empty is None:
-        parents_empty = parents.limit(1).agg((F.count(F.lit(1)) == 0).alias("empty")).scalar()
-    elif isinstance(parents_empty, bool):
-        parents_empty = F.lit(parents_empty)
     unknown = F.col(column).isNull() & ~parents_empty
     marked = F.when(F.col(hit), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)
     return joined.select(*child_columns, marked.alias(flag))
