@@ -86,14 +86,20 @@ class Warehouse:
         files.write.mode("overwrite").parquet(f"{self._consumed_path(name)}/load={sequence}")
 
     def pending(self, name: str) -> DataFrame:
-        """Landing rows no load has consumed yet. Looking does not consume them."""
-        rows = self.landing(name)
+        """Landing rows no load has consumed yet. Looking does not consume them.
+
+        Loads consume whole files, so the names of the files decide, and only
+        those still waiting are read.
+        """
+        landing = self.landing(name)
         columns = [*DOMAINS[name].column_names, "load_time"]
         if not self.has_landed(name) or not folders.exists(self.spark, self._consumed_path(name)):
-            return rows.select(*columns)
+            return landing.select(*columns)
         seen = self.spark.read.schema("landed_file string").parquet(self._consumed_path(name))
-        with_file = rows.select(*columns, "_metadata.file_path")
-        return with_file.join(seen, with_file.file_path == seen.landed_file, "left_anti").select(*columns)
+        waiting = set(landing.inputFiles()) - {r.landed_file for r in seen.toLocalIterator()}
+        if not waiting:
+            return landing.select(*columns).limit(0)
+        return self.spark.read.schema(landing.schema).parquet(*sorted(waiting)).select(*columns)
 
     # ---- silver --------------------------------------------------------
 
