@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
-        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",  # short jobs: quick compiles win
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m",  # short jobs: quick compiles win
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

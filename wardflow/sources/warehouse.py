@@ -96,7 +96,9 @@ class Warehouse:
         if not self.has_landed(name) or not folders.exists(self.spark, self._consumed_path(name)):
             return landing.select(*columns)
         seen = self.spark.read.schema("landed_file string").parquet(self._consumed_path(name))
-        waiting = set(landing.inputFiles()) - {r.landed_file for r in seen.toLocalIterator()}
+        # Every landed file has a unique name; the two listings differ in how they spell its folder.
+        done = {r.landed_file.rsplit("/", 1)[-1] for r in seen.toLocalIterator()}
+        waiting = [f for f in landing.inputFiles() if f.rsplit("/", 1)[-1] not in done]
         if not waiting:
             return landing.select(*columns).limit(0)
         return self.spark.read.schema(landing.schema).parquet(*sorted(waiting)).select(*columns)
