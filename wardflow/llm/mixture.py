@@ -98,7 +98,8 @@ def mix(
     cell = F.floor((F.col("_order") / F.lit(2.0**63) + 1) * (PREFIX_CELLS / 2))
     placed = running_total(joined, list(LEVELS), ["_order", "doc_id", "tokens"], cell, "tokens", "_before")
     taken = F.col("_before") + F.col("tokens") <= F.col("rest")
-    copies = (F.col("whole") + F.when(taken, 1).otherwise(0)).cast("long")
+    # Texts without tokens fit in any rest, so they too stop at the last epoch.
+    copies = F.least(F.col("whole") + F.when(taken, 1).otherwise(0), F.lit(max_epochs)).cast("long")
     return placed.withColumn("copies", copies).where("copies > 0").select("doc_id", *LEVELS, "tokens", "copies")
 
 
