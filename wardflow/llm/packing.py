@@ -29,7 +29,8 @@ from wardflow.llm.common import blocks, coded_words, ragged, running_total, stag
 
 CAPACITY = 4096
 END = 1  # id that closes every document
-REMEMBERED = 400_000  # distinct words whose ids a worker keeps
+REMEMBERED = 200_000  # distinct words whose ids a worker keeps
+AT_ONCE = 4096  # words encoded in one call: encodings are far larger than their ids
 RANK_CELLS = 1024  # pieces of one length are ranked in so many cells
 
 
@@ -54,8 +55,10 @@ class WordIds:
         if len(self.ids) + len(new) > REMEMBERED:
             self.ids.clear()
             new = distinct
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.ids[w] = e.ids
+        for k in range(0, len(new), AT_ONCE):
+            some = new[k : k + AT_ONCE]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.ids[w] = e.ids
         each = [self.ids[w] for w in distinct]
         n = np.fromiter(map(len, each), np.int64, len(each))
         flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(n.sum()))
