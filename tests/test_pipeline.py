@@ -136,6 +136,10 @@ def test_published_names_and_masking(runs, spark):
     masked = {r[0] for r in spark.sql("SELECT email FROM silver_patients").collect()}
     assert masked == {"****MASKED****"}
     assert wh.silver("patients", role="SYSADMIN").where("patient_id = 6").collect()[0].email == "gus@x.org"
+    for name, column in (("silver_patients", "email"), ("silver_doctors", "email")):
+        assert {r[0] for r in wh.read_table(name).select(column).collect()} == {"****MASKED****"}
+    wh.register_views()
+    assert {r[0] for r in spark.sql("SELECT phone FROM silver_patients").collect()} == {"****MASKED****"}
     assert spark.sql("SELECT count(*) FROM raw_patients").collect()[0][0] == 8
     assert spark.sql("SELECT count(*) FROM raw_patients_st").collect()[0][0] == 0
 
@@ -243,6 +247,21 @@ def test_schedule_runs_the_pipeline(spark, tmp_path):
     assert ids(wh, "doctors") == [10, 11]
 
 
+def test_schedule_goes_on_after_a_failing_run(spark, tmp_path, monkeypatch):
+    wh, runs = Warehouse(spark, str(tmp_path)), []
+
+    def failing(*args, **options):
+        runs.append(1)
+        if len(runs) != 3:
+            raise RuntimeError("a failing run")
+
+    monkeypatch.setattr("wardflow.streaming.pipeline.run_pipeline", failing)
+    query = start_schedule(wh, every="1 second", max_failures=3)
+    with pytest.raises(Exception, match="a failing run"):
+        query.awaitTermination(120)
+    assert len(runs) == 6  # two failures, a good run, then three failures in a row
+
+
 def test_ingest_takes_only_new_files_in_bounded_batches(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     deliver(tmp_path, {"doctors": MASTER["doctors"]}, "master")

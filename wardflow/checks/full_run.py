@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.checks import derive
 from wardflow.domains import DOMAINS
-from wardflow.operators.dedup import latest_per_key
 from wardflow.sources.csv_drop import CSV_OPTIONS
 from wardflow.sources.warehouse import Warehouse
 from wardflow.streaming.pipeline import RunReport, run_pipeline
@@ -23,8 +22,14 @@ _RUNS: dict[tuple[str, str], tuple[Warehouse, RunReport]] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one of the session; local where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wardflow-")
+    """A new folder below the one ``spark.checkpoint.dir`` names. Only in local mode,
+    where driver and executors share every folder, may it be unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="wardflow-")
     return f"{shared.rstrip('/')}/wardflow-checks-{uuid.uuid4().hex[:12]}"
 
 
@@ -35,10 +40,10 @@ def write_drop(rows: DataFrame, name: str, folder: str) -> None:
 
 
 def first_delivery(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Landing rows to deliver. Admissions repeat keys, and which of several rows
-    of one file set came last is up to the files, so the latest is picked here."""
+    """All landing rows. Admissions repeat keys: rows of one key go into one file, so
+    they arrive together and their columns alone decide which is the latest."""
     rows = derive.RAW[name](spark, sf_dir)
-    return latest_per_key(rows, "admission_id") if name == "admissions" else rows
+    return rows.repartition("admission_id") if name == "admissions" else rows
 
 
 def completed_run(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, RunReport]:

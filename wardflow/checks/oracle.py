@@ -277,12 +277,11 @@ def _sql(select: str, bodies: dict[str, str] = _CTES) -> str:
 
 
 def _delivered(select: str) -> str:
-    """As ``_sql``, with admissions delivered once per key, as the pipeline run does."""
+    """As ``_sql``, with all admissions arriving together, as in the pipeline run."""
     bodies: dict[str, str] = {}
     for name, body in _CTES.items():
         if name == "raw_admissions":
-            bodies["repeated_admissions"] = body
-            body = _latest("admissions", "SELECT * FROM repeated_admissions")
+            body = f"SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' AS load_time) FROM ({body})"
         bodies[name] = body
     return _sql(select, bodies)
 

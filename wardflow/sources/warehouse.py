@@ -28,6 +28,9 @@ KPI_VIEWS = {
 }
 # ---------------------------------------------------------------------------
 
+# The role of a reader who names none.
+NO_ROLE = "PUBLIC"
+
 # Loads are numbered per landing generation, so that loads after a reset of the
 # landing table count on from those before it.
 LOADS_PER_GENERATION = 1_000_000_000
@@ -115,7 +118,7 @@ class Warehouse:
         )
 
     def silver(self, name: str, role: str | None = None) -> DataFrame:
-        """A silver table; with a ``role`` given, personal columns as it may see them."""
+        """A silver table as loads read it; with a ``role`` given, personal columns as it may see them."""
         table, pii = self.silver_table(name).read(), DOMAINS[name].pii
         return table if role is None or not pii else masked(table, pii, role)
 
@@ -177,7 +180,8 @@ class Warehouse:
         return names + list(DIMENSIONS) + [f"fact_{d}" for d in FACTS] + list(KPI_VIEWS)
 
     def read_table(self, name: str, role: str | None = None) -> DataFrame:
-        """Any table or view of any layer by its published name."""
+        """Any table or view of any layer by its published name. Personal columns of
+        the silver tables are masked unless ``role`` is an administrator's."""
         if name == "exception_table":
             return self.exceptions()
         if name in DIMENSIONS:
@@ -190,14 +194,15 @@ class Warehouse:
         if layer == "raw":
             return self.raw(domain)
         if layer == "silver":
-            return self.silver(domain, role)
+            return self.silver(domain, role or NO_ROLE)
         if layer == "fact":
             return self.fact(domain)
         raise KeyError(name)
 
     def register_views(self, role: str | None = None) -> list[str]:
         """Publish everything as temporary views, for ``spark.sql``. A view shows
-        the state at registration; register again after a run."""
+        the state at registration, masked for all but administrator roles; register
+        again after a run."""
         names = self.table_names()
         for name in names:
             self.read_table(name, role).createOrReplaceTempView(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -18,6 +19,8 @@ from wardflow.sources.warehouse import DIMENSIONS, Warehouse
 from wardflow.streaming.ingest import ingest_available
 from wardflow.streaming.loads import LoadReport, load_domain
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class RunReport:
@@ -107,12 +110,23 @@ def run_pipeline(
     return report
 
 
-def start_schedule(wh: Warehouse, every: str = "5 minutes", **options) -> StreamingQuery:
+def start_schedule(wh: Warehouse, every: str = "5 minutes", *, max_failures: int = 10, **options) -> StreamingQuery:
     """Run the pipeline periodically, on the trigger of one streaming query whose
-    source merely ticks; runs never overlap. Stop it with ``query.stop()``."""
+    source merely ticks; runs never overlap. Stop it with ``query.stop()``. A run
+    that fails is logged and the next one resumes its loads; ``max_failures`` in a
+    row end the schedule with the last error."""
+    failures = 0
 
     def tick(batch: DataFrame, batch_id: int) -> None:
-        run_pipeline(wh, **options)
+        nonlocal failures
+        try:
+            run_pipeline(wh, **options)
+            failures = 0
+        except Exception:
+            failures += 1
+            log.exception("run failed, %d in a row", failures)
+            if failures >= max_failures:
+                raise
 
     ticks = wh.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (
