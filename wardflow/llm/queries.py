@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bit_mixing, langid, line_runs, merkle, mixture, packing, quality, reply_trees, revisits, shingle_join
+from wardflow.llm import bit_mixing, langid, line_runs, merkle, mixture, packing, phrases, prefix_trie, quality, reply_trees, revisits, shingle_join, winnowing
 from wardflow.llm.common import remainder
 
 #: Target weights of the mixture; what is not named weighs 1.
@@ -78,8 +78,26 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_check(table(spark, sf_dir, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = winnowing.shared_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    told = told.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    return told.withColumn("contaminated", F.col("n_hit") > 0)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, id_ = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), F.col("conv_id")
+    ids = rows.where("conv_id IS NOT NULL").select(id_.cast("long").alias("conv_id")).distinct()
+    heads = F.crc32(id_.cast("string").cast("binary")) % 6
+    return prefix_trie.trie(prefix_trie.spliced(prefix_trie.numbered(rows), ids, id_ - id_ % 100, heads, most=5), ids)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_bit_mixing, op2_revisits, op3_shingle_join, op4_quality, op5_mixture, op6_reply_trees, op7_line_runs, op8_packing, op9_langid, op10_merkle)
+        for f in (op1_bit_mixing, op2_revisits, op3_shingle_join, op4_quality, op5_mixture, op6_reply_trees, op7_line_runs, op8_packing, op9_langid, op10_merkle, op11_winnowing, op12_phrases, op13_prefix_trie)
     }
