@@ -39,6 +39,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, key: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key``: what is grouped or joined by the key later
+    on reads it as it lies, and only the other side is shuffled."""
+    spark = df.sparkSession
+    name = f"llm_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", f"{shared_folder(spark)}/{name}")
+    writer.bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns an operator is about to add (its own replace them)."""
     taken = {n.lower() for n in names}

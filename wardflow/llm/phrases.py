@@ -10,8 +10,14 @@ are extended further: a longer phrase cannot be more frequent, so nothing is mis
 is only counted if its other end is frequent too, which its new interval tells: it must lie in
 the interval of a phrase one word shorter.
 
+Most extensions are rare, so a level goes over the shards twice. First each shard tells only
+hashes of its extensions with their counts, sorted, as gaps; they are summed in parts of the
+range of hashes (as many as the words call for), and each shard hears which of its hashes
+are frequent. Then it names those extensions, and exact counts by phrase decide: a hash that
+phrases share can only be too frequent. The indexes are stored by shard and never shuffled.
+
 A shard is one row and one task's work at a time; language and words may be as skewed as they
-like. Counts of phrases are combined before they are shuffled.
+like.
 
 Defined results: NULL text is empty; a NULL language is ``und``. Texts without words give
 nothing. Repeated rows count as often as they occur. A text is cut into shards only between
@@ -25,18 +31,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, ragged, stage
+from wardflow.llm.common import blocks, mixed, ragged, stage, stage_by
 
 SHARD_WORDS = 1 << 20
 BREAK = r"[.,;:!?\x0A-\x0D]"  # ends a piece; no word holds a ".", so it stands for all of them
 INDEX = "shard long, lang string, words array<string>, forward array<int>, backward array<int>"
 SCORE = """(CAST(1000 AS DECIMAL(4,0)) * CAST(f AS DECIMAL(15,0)) * CAST(n AS DECIMAL(19,0)))
     div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))"""  # exact: products have up to 38 digits
-LEVEL = "shard long, lang string, phrase string, lo int, other int, n int"
+LEVEL = "shard long, lang string, phrase string, code long, lo int, other int, n int"
+HASHES = "shard long, lang string, part int, gaps array<int>, n array<int>"
+PART_WORDS = 8 << 20  # words for each part of the hashes
+KEY_BITS = 31
+K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def transform_of(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -91,6 +102,17 @@ def index_shards(docs: DataFrame, depth: int, shard_words: int) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(index, INDEX)
 
 
+def word_codes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+
+
+def table_of(schema: str, *columns) -> pa.RecordBatch:
+    """A record batch of a schema of plain names and types."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+    names, types = zip(*[field.split(" ") for field in schema.split(", ")], strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) if not isinstance(c, pa.Array) else c.cast(kinds[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
+
+
 def single_words(index: DataFrame) -> DataFrame:
     """Level 1: every word of every shard with its interval, the same in both transforms."""
 
@@ -100,13 +122,10 @@ def single_words(index: DataFrame) -> DataFrame:
                 words, ids = batch.column("words")[k].values, batch.column("forward")[k].values.to_numpy()
                 # Numbers follow the dictionary, in which "." has a place but no number of its own.
                 n = np.bincount(ids, minlength=len(words) + 1)
-                lo = np.cumsum(n) - n
-                real = np.flatnonzero(n[1:]) + 1
-                same = pa.array(lo[real], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(batch.column("shard")[k], len(real)), pa.repeat(batch.column("lang")[k], len(real)), words.take(pa.array(real - 1)), same, same, pa.array(n[real], pa.int32())],
-                    names=["shard", "lang", "phrase", "lo", "other", "n"],
-                )
+                lo, real = np.cumsum(n) - n, np.flatnonzero(n[1:]) + 1
+                named = words.take(pa.array(real - 1))
+                alike = [pa.repeat(batch.column(c)[k], len(real)) for c in ("shard", "lang")]
+                yield table_of(LEVEL, *alike, named, word_codes(named).view(np.int64), lo[real], lo[real], n[real])
 
     return index.select("shard", "lang", "words", "forward").mapInArrow(count, LEVEL)
 
@@ -134,44 +153,94 @@ def extended(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarra
     return owner[real], word[real], begin[real], (other[owner] + smaller)[real], n[real]
 
 
-def next_level(index: DataFrame, frequent: DataFrame, right: bool) -> DataFrame:
-    """All one-word extensions, on one side, of each shard's frequent phrases."""
-    side = "backward" if right else "forward"
-    names = ["shard", "lang", "phrase", "lo", "other", "n"]
-
-    def extend(shards: pa.Table, phrases: pa.Table) -> pa.Table:
-        if not shards.num_rows or not phrases.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(names, [pa.int64(), pa.string(), pa.string(), *[pa.int32()] * 3], strict=True)})
-        words, bwt = (shards.column(c).combine_chunks()[0].values for c in ("words", side))
-        lo, other, n = (phrases.column(c).to_numpy().astype(np.int64) for c in ("lo", "other", "n"))
-        if right:
-            lo, other = other, lo
-        owner, word, begin, beside, n = extended(bwt.to_numpy(), lo, other, n)
-        if right:
-            begin, beside = beside, begin
-        old, new = phrases.column("phrase").combine_chunks().take(pa.array(owner)).cast(pa.string()), words.take(pa.array(word - 1)).cast(pa.string())
-        phrase = pc.binary_join_element_wise(*((old, new) if right else (new, old)), " ")
-        shard, lang = (pa.repeat(shards.column(c).combine_chunks()[0], len(owner)) for c in ("shard", "lang"))
-        return pa.Table.from_arrays([shard, lang.cast(pa.string()), phrase, *[pa.array(x, pa.int32()) for x in (begin, beside, n)]], names=names)
-
-    mine = index.select("shard", "lang", "words", side).groupBy("shard")
-    return mine.cogroup(frequent.groupBy("shard")).applyInArrow(extend, LEVEL)
+def extensions(shards: pa.Table, phrases: pa.Table, right: bool) -> tuple:
+    """One shard's extensions, on one side, of its frequent phrases: their phrase's row, the
+    new word, both begins, the count, the hash (alike in all shards)."""
+    words, bwt = (shards.column(c).combine_chunks()[0].values for c in ("words", "backward" if right else "forward"))
+    lo, other, n = (phrases.column(c).to_numpy().astype(np.int64) for c in ("lo", "other", "n"))
+    if right:
+        lo, other = other, lo
+    owner, word, begin, beside, n = extended(bwt.to_numpy(), lo, other, n)
+    if right:
+        begin, beside = beside, begin
+    new, of_word = np.unique(word, return_inverse=True)
+    with np.errstate(over="ignore"):
+        added = word_codes(words.take(pa.array(new - 1)))[of_word] * K2
+        code = mixed(phrases.column("code").to_numpy().view(np.uint64)[owner] * K1 + added)
+    return owner, word, begin, beside, n, code
+
+
+def places(code: np.ndarray, parts: int) -> np.ndarray:
+    """Part and key of a hash as one number, the part above the key."""
+    low = (code & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
+    return ((code >> np.uint64(KEY_BITS)) % np.uint64(parts)).astype(np.int64) << KEY_BITS | low
+
+
+def next_level(index: DataFrame, frequent: DataFrame, right: bool, least: int, parts: int) -> DataFrame:
+    """All one-word extensions, on one side, of each shard's frequent phrases, less those whose
+    hash occurs fewer than ``least`` times in all shards of the language."""
+
+    def count(shards: pa.Table, phrases: pa.Table) -> pa.Table:
+        made = []
+        if shards.num_rows and phrases.num_rows:
+            *_, n, code = extensions(shards, phrases, right)
+            place, of = np.unique(places(code, parts), return_inverse=True)
+            n = np.bincount(of, weights=n).astype(np.int64) if len(place) else n
+            part, first = np.unique(place >> KEY_BITS, return_index=True)
+            for p, lo, hi in zip(part, first, np.append(first[1:], len(place)), strict=True):
+                key = place[lo:hi] & ((1 << KEY_BITS) - 1)
+                made.append((p, np.diff(key, prepend=0), n[lo:hi]))
+        alike = [pa.repeat(shards.column(c).combine_chunks()[0], len(made)) if made else pa.array([]) for c in ("shard", "lang")]
+        return pa.Table.from_batches([table_of(HASHES, *alike, *([m[k] for m in made] for k in range(3)))])
+
+    def agree(group: pa.Table) -> pa.Table:
+        keys = [np.cumsum(gaps.values.to_numpy(), dtype=np.int64) for gaps in group.column("gaps").combine_chunks()]
+        n = np.concatenate([ns.values.to_numpy() for ns in group.column("n").combine_chunks()])
+        every, of = np.unique(np.concatenate(keys), return_inverse=True)
+        often = every[np.bincount(of, weights=n) >= least]
+        part = group.column("part")[0].as_py() << KEY_BITS
+        told = [part | key[np.isin(key, often, assume_unique=True)] for key in keys]
+        some = [k for k, t in enumerate(told) if len(t)]
+        shard = group.column("shard").combine_chunks().take(pa.array(some, pa.int64()))
+        return pa.Table.from_batches([table_of("shard long, keys array<long>", shard, [told[k] for k in some])])
+
+    def name(shards: pa.Table, rows: pa.Table) -> pa.Table:
+        told = [k.values.to_numpy() for k in rows.column("keys").combine_chunks() if k.is_valid]
+        if not shards.num_rows or not told:
+            return pa.Table.from_batches([table_of(LEVEL, *[[]] * 7)])
+        phrases = rows.filter(pc.is_valid(rows.column("phrase")))
+        words = shards.column("words").combine_chunks()[0].values
+        owner, word, begin, beside, n, code = extensions(shards, phrases, right)
+        kept = np.flatnonzero(np.isin(places(code, parts), np.concatenate(told)))
+        owner, word = pa.array(owner[kept]), pa.array(word[kept] - 1)
+        both = [phrases.column("phrase").combine_chunks().cast(pa.string()).take(owner), words.cast(pa.string()).take(word)]
+        phrase = pc.binary_join_element_wise(*(both if right else both[::-1]), " ")
+        alike = [pa.repeat(shards.column(c).combine_chunks()[0], len(kept)) for c in ("shard", "lang")]
+        return pa.Table.from_batches([table_of(LEVEL, *alike, phrase, code[kept].view(np.int64), begin[kept], beside[kept], n[kept])])
+
+    mine = index.select("shard", "lang", "words", "backward" if right else "forward").groupBy("shard")
+    known = frequent.select("shard", "phrase", "code", "lo", "other", "n")
+    hashes = mine.cogroup(known.groupBy("shard")).applyInArrow(count, HASHES)
+    heard = stage(hashes.groupBy("lang", "part").applyInArrow(agree, "shard long, keys array<long>"), "frequent_hashes")
+    both = known.unionByName(heard, allowMissingColumns=True)
+    return mine.cogroup(both.groupBy("shard")).applyInArrow(name, LEVEL)
 
 
 def phrase_counts(docs: DataFrame, least: int, depth: int = 5, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f): all phrases of up to ``depth`` words that occur ``least`` times
     or more within pieces of one language; and (lang, n): the number of its words."""
-    index = stage(index_shards(docs, depth, shard_words), "index")
+    index = stage_by(index_shards(docs, depth, shard_words), "shard")
     level = stage(single_words(index), "words")
     totals = stage(level.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    parts = 1 + (totals.agg(F.max("n")).first()[0] or 0) // PART_WORDS
     counts = None
     for words in range(1, depth + 1):
         f = level.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         f = stage(f.select("lang", "phrase", F.lit(words).alias("words"), "f"), "counts")
         counts = f if counts is None else counts.unionByName(f)
         if words < depth:
-            frequent = level.join(f.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
-            level = stage(next_level(index, frequent, right=words % 2 == 1), "level")
+            frequent = stage(level.join(f.select("lang", "phrase"), ["lang", "phrase"], "left_semi"), "frequent")
+            level = stage(next_level(index, frequent, words % 2 == 1, least, parts), "level")
     return counts, totals
 
 
