@@ -4,17 +4,16 @@ Documents are cut into shards of about ``SHARD_WORDS`` words of one language; a
 are numbered and its text and reversed text are each kept as a Burrows-Wheeler transform, the
 two of a bidirectional FM-index. A phrase is an interval in both: extending it by a word on one
 side is a step through that side's transform, and what sorts before that word moves the other
-interval. Level by level, all shards extend their phrases by one word (on the right, then on the
-left, in turn), counts are summed across shards, and only phrases frequent enough in all of them
-are extended further: a longer phrase cannot be more frequent, so nothing is missed. An extension
-is only counted if its other end is frequent too, which its new interval tells: it must lie in
-the interval of a phrase one word shorter.
-
-Most extensions are rare, so a level goes over the shards twice. First each shard tells only
-hashes of its extensions with their counts, sorted, as gaps; they are summed in parts of the
-range of hashes (as many as the words call for), and each shard hears which of its hashes
-are frequent. Then it names those extensions, and exact counts by phrase decide: a hash that
-phrases share can only be too frequent. The indexes are stored by shard and never shuffled.
+interval. Phrases grow by a word on the right, then on the left, in turn. An extension counts
+only if its other end is in the level before, which its new interval tells: it must lie in the
+interval of a phrase one word shorter.
+
+Shards tell phrases as 62-bit hashes with counts, sorted, as gaps; these are summed in parts of
+the range of hashes (as many as the words call for), and every shard hears which of its hashes
+are frequent. First come all words and pairs; then phrases of three words or more whose pairs
+are all frequent (a longer phrase is no more frequent than its pairs, so none is missed). In the
+end one shard names each frequent phrase. Indexes are stored by shard and never shuffled.
+Equal hashes are taken as equal phrases.
 
 A shard is one row and one task's work at a time; language and words may be as skewed as they
 like.
@@ -40,13 +39,13 @@ from wardflow.llm.common import blocks, mixed, ragged, stage, stage_by
 
 SHARD_WORDS = 1 << 20
 BREAK = r"[.,;:!?\x0A-\x0D]"  # ends a piece; no word holds a ".", so it stands for all of them
-INDEX = "shard long, lang string, words array<string>, forward array<int>, backward array<int>"
+INDEX = "shard long, lang string, n long, words array<string>, forward array<int>, backward array<int>"
 SCORE = """(CAST(1000 AS DECIMAL(4,0)) * CAST(f AS DECIMAL(15,0)) * CAST(n AS DECIMAL(19,0)))
     div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))"""  # exact: products have up to 38 digits
-LEVEL = "shard long, lang string, phrase string, code long, lo int, other int, n int"
-HASHES = "shard long, lang string, part int, gaps array<int>, n array<int>"
+HASHES = "shard long, lang string, part int, gaps array<long>, n array<int>"
+HEARD = "shard long, keys array<long>, f array<long>"  # f: total of a hash this shard is to name, else 0
+NAMED = "lang string, phrase string, words int, f long"
 PART_WORDS = 8 << 20  # words for each part of the hashes
-KEY_BITS = 31
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -79,9 +78,7 @@ def index_shards(docs: DataFrame, depth: int, shard_words: int) -> DataFrame:
         stop = words.index(".").as_py()
         ids = np.where(codes == stop, 0, codes + 1).astype(np.int32)
         both = [transform_of(ids, depth), transform_of(np.concatenate([ids[-2::-1], ids[-1:]]), depth)]
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(b, pa.int32())) for b in both]
-        named = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([lang]), named, *lists], names=["shard", "lang", "words", "forward", "backward"])
+        return table_of(INDEX, [shard], [lang], [np.count_nonzero(ids)], [words.cast(pa.string())], *[[b] for b in both])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[pa.Array]] = {}
@@ -108,35 +105,22 @@ def word_codes(words: pa.Array) -> np.ndarray:
 
 def table_of(schema: str, *columns) -> pa.RecordBatch:
     """A record batch of a schema of plain names and types."""
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
     names, types = zip(*[field.split(" ") for field in schema.split(", ")], strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) if not isinstance(c, pa.Array) else c.cast(kinds[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
-def single_words(index: DataFrame) -> DataFrame:
-    """Level 1: every word of every shard with its interval, the same in both transforms."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                words, ids = batch.column("words")[k].values, batch.column("forward")[k].values.to_numpy()
-                # Numbers follow the dictionary, in which "." has a place but no number of its own.
-                n = np.bincount(ids, minlength=len(words) + 1)
-                lo, real = np.cumsum(n) - n, np.flatnonzero(n[1:]) + 1
-                named = words.take(pa.array(real - 1))
-                alike = [pa.repeat(batch.column(c)[k], len(real)) for c in ("shard", "lang")]
-                yield table_of(LEVEL, *alike, named, word_codes(named).view(np.int64), lo[real], lo[real], n[real])
-
-    return index.select("shard", "lang", "words", "forward").mapInArrow(count, LEVEL)
+def steps(bwt: np.ndarray) -> np.ndarray:
+    """From each row of the index to the row of the text one word longer."""
+    step = np.empty(len(bwt), np.int64)
+    step[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    return step
 
 
-def extended(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+def extended(bwt: np.ndarray, step: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     """Extend intervals of ``bwt`` by the word it holds. Returns, per extension: which interval,
     which word, its own and its other interval's begin, its count. Only extensions that lie in
     one of the given intervals are returned."""
-    order = np.argsort(bwt, kind="stable")
-    step = np.empty(len(bwt), np.int64)
-    step[order] = np.arange(len(bwt))  # from a row to the row of the text one word longer
     inside = np.zeros(len(bwt) + 1, np.int64)
     np.add.at(inside, lo, 1)
     np.add.at(inside, lo + size, -1)
@@ -144,7 +128,7 @@ def extended(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarra
     rows, owner = ragged(lo, size), np.repeat(np.arange(len(lo)), size)
     key = owner * (int(bwt.max(initial=0)) + 1) + bwt[rows]
     by_word = np.argsort(key, kind="stable")
-    rows, owner, key = rows[by_word], owner[by_word], key[by_word]
+    rows, key = rows[by_word], key[by_word]  # owners are sorted already
     first = np.flatnonzero(np.concatenate([[True], np.diff(key) != 0])) if len(key) else np.zeros(0, np.int64)
     n = np.diff(np.append(first, len(key)))
     owner, word, begin = owner[first], bwt[rows[first]], step[rows[first]]
@@ -153,95 +137,130 @@ def extended(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarra
     return owner[real], word[real], begin[real], (other[owner] + smaller)[real], n[real]
 
 
-def extensions(shards: pa.Table, phrases: pa.Table, right: bool) -> tuple:
-    """One shard's extensions, on one side, of its frequent phrases: their phrase's row, the
-    new word, both begins, the count, the hash (alike in all shards)."""
-    words, bwt = (shards.column(c).combine_chunks()[0].values for c in ("words", "backward" if right else "forward"))
-    lo, other, n = (phrases.column(c).to_numpy().astype(np.int64) for c in ("lo", "other", "n"))
-    if right:
-        lo, other = other, lo
-    owner, word, begin, beside, n = extended(bwt.to_numpy(), lo, other, n)
-    if right:
-        begin, beside = beside, begin
-    new, of_word = np.unique(word, return_inverse=True)
-    with np.errstate(over="ignore"):
-        added = word_codes(words.take(pa.array(new - 1)))[of_word] * K2
-        code = mixed(phrases.column("code").to_numpy().view(np.uint64)[owner] * K1 + added)
-    return owner, word, begin, beside, n, code
-
-
-def places(code: np.ndarray, parts: int) -> np.ndarray:
-    """Part and key of a hash as one number, the part above the key."""
-    low = (code & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
-    return ((code >> np.uint64(KEY_BITS)) % np.uint64(parts)).astype(np.int64) << KEY_BITS | low
-
-
-def next_level(index: DataFrame, frequent: DataFrame, right: bool, least: int, parts: int) -> DataFrame:
-    """All one-word extensions, on one side, of each shard's frequent phrases, less those whose
-    hash occurs fewer than ``least`` times in all shards of the language."""
-
-    def count(shards: pa.Table, phrases: pa.Table) -> pa.Table:
-        made = []
-        if shards.num_rows and phrases.num_rows:
-            *_, n, code = extensions(shards, phrases, right)
-            place, of = np.unique(places(code, parts), return_inverse=True)
-            n = np.bincount(of, weights=n).astype(np.int64) if len(place) else n
-            part, first = np.unique(place >> KEY_BITS, return_index=True)
-            for p, lo, hi in zip(part, first, np.append(first[1:], len(place)), strict=True):
-                key = place[lo:hi] & ((1 << KEY_BITS) - 1)
-                made.append((p, np.diff(key, prepend=0), n[lo:hi]))
-        alike = [pa.repeat(shards.column(c).combine_chunks()[0], len(made)) if made else pa.array([]) for c in ("shard", "lang")]
-        return pa.Table.from_batches([table_of(HASHES, *alike, *([m[k] for m in made] for k in range(3)))])
+def key_of(code: np.ndarray) -> np.ndarray:
+    return (code >> np.uint64(2)).view(np.int64)
+
+
+def levels(words: pa.Array, forward: np.ndarray, backward: np.ndarray, depth: int, heard: np.ndarray | None = None, heard_words: int = 0) -> Iterator[tuple]:
+    """A shard's phrases by length: (hashes, counts, word numbers by place). Phrases of up to
+    ``heard_words`` words are kept, and extended, if their hash is in ``heard``."""
+    of_word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+    # Numbers follow the dictionary, in which "." has a place but no number of its own.
+    n = np.bincount(forward, minlength=len(words) + 1)
+    lo, number = np.cumsum(n) - n, np.flatnonzero(n[1:]) + 1
+    ends, n, code, phrase = [lo[number], lo[number]], n[number], mixed(of_word[number - 1]), [number]
+    sides = [(forward, steps(forward)), (backward, steps(backward))]
+    for size in range(1, depth + 1):
+        if size > 1:
+            right = 1 - size % 2
+            owner, word, begin, beside, n = extended(*sides[right], ends[right], ends[1 - right], n)
+            ends = [beside, begin] if right else [begin, beside]
+            with np.errstate(over="ignore"):
+                code = mixed(code[owner] * K1 + of_word[word - 1] * K2)
+            phrase = [p[owner] for p in phrase]
+            phrase.insert(len(phrase) if right else 0, word)
+        if size <= heard_words:
+            kept = np.flatnonzero(np.isin(key_of(code), heard))
+            ends, n, code, phrase = [e[kept] for e in ends], n[kept], code[kept], [p[kept] for p in phrase]
+        yield key_of(code), n, phrase
+
+
+def table_of(schema: str, *columns) -> pa.RecordBatch:
+    """A record batch of a schema of plain names and types."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+    names, types = zip(*[field.split(" ") for field in schema.split(", ")], strict=True)
+    return pa.RecordBatch.from_arrays([c.cast(kinds[t]) if isinstance(c, pa.Array) else pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
+
+
+def runs(first: np.ndarray, end: int) -> list[tuple[int, int]]:
+    """(begin, end) of the runs that begin at ``first``."""
+    edges = np.append(first, end)
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
+def told(shard: int, lang: str, found: list[tuple], parts: int) -> pa.RecordBatch:
+    """One row per part of the hashes."""
+    key, of = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    n = np.bincount(of, weights=np.concatenate([f[1] for f in found]), minlength=len(key)).astype(np.int64)
+    part = key % parts
+    order = np.argsort(part, kind="stable")
+    key, n = key[order], n[order]
+    some, first = np.unique(part[order], return_index=True)
+    cuts = runs(first, len(key))
+    return table_of(HASHES, [shard] * len(some), [lang] * len(some), some, [np.diff(key[lo:hi], prepend=0) for lo, hi in cuts], [n[lo:hi] for lo, hi in cuts])
+
+
+def opened(shards: pa.Table | pa.RecordBatch, row: int = 0) -> tuple:
+    """A shard's id, language, words and transforms."""
+    lists = [shards.column(c)[row].values for c in ("words", "forward", "backward")]
+    return shards.column("shard")[row].as_py(), shards.column("lang")[row].as_py(), lists[0], lists[1].to_numpy(), lists[2].to_numpy()
+
+
+def frequent_hashes(hashes: DataFrame, least: int) -> DataFrame:
+    """(shard, keys, f): the hashes of every shard that occur ``least`` times in all of its language."""
 
     def agree(group: pa.Table) -> pa.Table:
-        keys = [np.cumsum(gaps.values.to_numpy(), dtype=np.int64) for gaps in group.column("gaps").combine_chunks()]
+        keys = [np.cumsum(gaps.values.to_numpy()) for gaps in group.column("gaps").combine_chunks()]
         n = np.concatenate([ns.values.to_numpy() for ns in group.column("n").combine_chunks()])
-        every, of = np.unique(np.concatenate(keys), return_inverse=True)
-        often = every[np.bincount(of, weights=n) >= least]
-        part = group.column("part")[0].as_py() << KEY_BITS
-        told = [part | key[np.isin(key, often, assume_unique=True)] for key in keys]
-        some = [k for k, t in enumerate(told) if len(t)]
+        owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        key = np.concatenate(keys)
+        every, first, of = np.unique(key, return_index=True, return_inverse=True)
+        f = np.bincount(of, weights=n).astype(np.int64)
+        names = np.zeros(len(key), np.int64)
+        names[first] = f
+        kept = f[of] >= least
+        key, names, owner = key[kept], names[kept], owner[kept]
+        some, first = np.unique(owner, return_index=True)
+        cuts = runs(first, len(key))
         shard = group.column("shard").combine_chunks().take(pa.array(some, pa.int64()))
-        return pa.Table.from_batches([table_of("shard long, keys array<long>", shard, [told[k] for k in some])])
-
-    def name(shards: pa.Table, rows: pa.Table) -> pa.Table:
-        told = [k.values.to_numpy() for k in rows.column("keys").combine_chunks() if k.is_valid]
-        if not shards.num_rows or not told:
-            return pa.Table.from_batches([table_of(LEVEL, *[[]] * 7)])
-        phrases = rows.filter(pc.is_valid(rows.column("phrase")))
-        words = shards.column("words").combine_chunks()[0].values
-        owner, word, begin, beside, n, code = extensions(shards, phrases, right)
-        kept = np.flatnonzero(np.isin(places(code, parts), np.concatenate(told)))
-        owner, word = pa.array(owner[kept]), pa.array(word[kept] - 1)
-        both = [phrases.column("phrase").combine_chunks().cast(pa.string()).take(owner), words.cast(pa.string()).take(word)]
-        phrase = pc.binary_join_element_wise(*(both if right else both[::-1]), " ")
-        alike = [pa.repeat(shards.column(c).combine_chunks()[0], len(kept)) for c in ("shard", "lang")]
-        return pa.Table.from_batches([table_of(LEVEL, *alike, phrase, code[kept].view(np.int64), begin[kept], beside[kept], n[kept])])
-
-    mine = index.select("shard", "lang", "words", "backward" if right else "forward").groupBy("shard")
-    known = frequent.select("shard", "phrase", "code", "lo", "other", "n")
-    hashes = mine.cogroup(known.groupBy("shard")).applyInArrow(count, HASHES)
-    heard = stage(hashes.groupBy("lang", "part").applyInArrow(agree, "shard long, keys array<long>"), "frequent_hashes")
-    both = known.unionByName(heard, allowMissingColumns=True)
-    return mine.cogroup(both.groupBy("shard")).applyInArrow(name, LEVEL)
+        return pa.Table.from_batches([table_of(HEARD, shard, [key[lo:hi] for lo, hi in cuts], [names[lo:hi] for lo, hi in cuts])])
+
+    return stage(hashes.groupBy("lang", "part").applyInArrow(agree, HEARD), "frequent_hashes")
 
 
 def phrase_counts(docs: DataFrame, least: int, depth: int = 5, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f): all phrases of up to ``depth`` words that occur ``least`` times
     or more within pieces of one language; and (lang, n): the number of its words."""
     index = stage_by(index_shards(docs, depth, shard_words), "shard")
-    level = stage(single_words(index), "words")
-    totals = stage(level.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    totals = stage(index.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
     parts = 1 + (totals.agg(F.max("n")).first()[0] or 0) // PART_WORDS
-    counts = None
-    for words in range(1, depth + 1):
-        f = level.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        f = stage(f.select("lang", "phrase", F.lit(words).alias("words"), "f"), "counts")
-        counts = f if counts is None else counts.unionByName(f)
-        if words < depth:
-            frequent = stage(level.join(f.select("lang", "phrase"), ["lang", "phrase"], "left_semi"), "frequent")
-            level = stage(next_level(index, frequent, words % 2 == 1, least, parts), "level")
-    return counts, totals
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard, lang, *parts_of_it = opened(batch, row)
+                yield told(shard, lang, [f[:2] for f in levels(*parts_of_it, min(depth, 2))], parts)
+
+    def long(shards: pa.Table, heard: pa.Table) -> pa.Table:
+        if not shards.num_rows or not heard.num_rows:
+            return pa.Table.from_batches([table_of(HASHES, *[[]] * 5)])
+        shard, lang, *parts_of_it = opened(shards)
+        keys = np.concatenate([k.values.to_numpy() for k in heard.column("keys").combine_chunks()])
+        found = [f[:2] for f in levels(*parts_of_it, depth, keys, 2)][2:]
+        return pa.Table.from_batches([told(shard, lang, found, parts)])
+
+    def name(shards: pa.Table, heard: pa.Table) -> pa.Table:
+        empty = [table_of(NAMED, *[[]] * 4)]
+        if not shards.num_rows or not heard.num_rows:
+            return pa.Table.from_batches(empty)
+        _, lang, words, *both = opened(shards)
+        keys, f = (np.concatenate([k.values.to_numpy() for k in heard.column(c).combine_chunks()]) for c in ("keys", "f"))
+        mine = np.argsort(keys[f > 0])
+        mine, f = keys[f > 0][mine], f[f > 0][mine]
+        made = empty
+        for found, _, phrase in levels(words, *both, depth, keys, depth):
+            at = np.flatnonzero(np.isin(found, mine))
+            parts_of_it = [words.take(pa.array(p[at] - 1)).cast(pa.string()) for p in phrase]
+            named = pc.binary_join_element_wise(*parts_of_it, " ") if len(phrase) > 1 else parts_of_it[0]
+            made.append(table_of(NAMED, [lang] * len(at), named, [len(phrase)] * len(at), f[np.searchsorted(mine, found[at])]))
+        return pa.Table.from_batches(made)
+
+    heard = frequent_hashes(index.mapInArrow(short, HASHES), least)
+    by_shard = index.groupBy("shard")
+    if depth > 2:
+        hashes = by_shard.cogroup(heard.select("shard", "keys").groupBy("shard")).applyInArrow(long, HASHES)
+        heard = heard.unionByName(frequent_hashes(hashes, least))
+    return stage(by_shard.cogroup(heard.groupBy("shard")).applyInArrow(name, NAMED), "counts"), totals
 
 
 def cut(at: Column, size: Column) -> Column:
