@@ -38,7 +38,7 @@ def column(df, expression):
 def test_text_to_number(spark):
     df = texts(spark, ["12.5", " 7 ", "1e3", "", "NaN", "x", None, "01", "99999999999999999999"])
     assert column(df, try_number(F.col("t"))) == [13, 7, 1000, None, None, None, None, 1, 99999999999999999999]
-    assert column(df, try_key(F.col("t"))) == [13, 7, 1000, None, None, None, None, 1, None]
+    assert column(df, try_key(F.col("t"))) == [13, 7, 1000, None, None, None, None, 1, 99999999999999999999]
 
 
 def test_text_to_amount_date_and_time(spark):
@@ -101,56 +101,82 @@ def expected_flag(reference, parents):
         return False
 
 
-@pytest.mark.parametrize("salted", [False, True])
+@pytest.mark.parametrize("shuffled", [False, True])
 @QUICK
 @given(
     references=st.lists(st.one_of(st.none(), st.sampled_from(["1", "2", "3", "x"])), max_size=40),
     parents=st.sets(st.integers(1, 4), max_size=3),
 )
-def test_lookup_has_three_values(spark, salted, references, parents):
+def test_lookup_has_three_values(spark, shuffled, references, parents):
     child = spark.createDataFrame([(i, r) for i, r in enumerate(references)], "i int, fk string")
     keys = spark.createDataFrame([(p,) for p in sorted(parents)] * 2, "k bigint")
-    marked = lookups.mark_exists(child, "fk", keys, "found", salted=salted, hot_rows=3)
+    marked = lookups.mark_exists(child, "fk", keys, "found", shuffled=shuffled)
     assert sorted((r.i, r.found) for r in marked.collect()) == [
         (i, expected_flag(r, parents)) for i, r in enumerate(references)
     ]
-    hits = lookups.semi(child, "fk", keys, salted=salted, hot_rows=3)
+    hits = lookups.semi(child, "fk", keys, shuffled=shuffled)
     assert sorted(r.i for r in hits.collect()) == [
         i for i, r in enumerate(references) if expected_flag(r, parents)
     ]
 
 
-def test_hot_key_is_spread(spark):
-    """One parent owns most rows; no shuffle partition may receive them all."""
-    child = spark.range(0, 9000, numPartitions=3).select(
-        F.when(F.col("id") < 6000, "7").otherwise(F.col("id").cast("string")).alias("fk")
+@pytest.fixture
+def small_partitions(spark):
+    """Skew handling as on large tables, at the size of a test."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "512",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def largest_share(joined) -> float:
+    sizes = [len(part) for part in joined.rdd.glom().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_hot_key_is_spread(spark, small_partitions):
+    """One parent owns most rows; no task may receive them all."""
+    child = spark.range(0, 9000, numPartitions=30).select(
+        F.when(F.col("id") < 6000, "7").otherwise(F.col("id").cast("string")).alias("fk"), F.sha2(F.col("id").cast("string"), 256).alias("more")
     )
     keys = spark.range(0, 9000).select("id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = lookups.mark_exists(child, "fk", keys, "found", parents_unique=True, hot_rows=100)
-        assert "NestedLoop" not in plan(joined) and "CartesianProduct" not in plan(joined)
-        sizes = [r["count"] for r in joined.where("fk = '7'").groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 6000 and len(sizes) == 4 and max(sizes) < 3000
-        assert joined.where("found").count() == 9000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    joined = lookups.mark_exists(child, "fk", keys, "found", parents_unique=True)
+    assert "NestedLoop" not in plan(joined) and "CartesianProduct" not in plan(joined)
+    rows = joined.collect()
+    assert len(rows) == 9000 and all(r.found for r in rows)
+    assert "skew=true" in plan(joined)
+    assert largest_share(joined) < 0.2
+    # The same after another dealing of the rows.
+    again = lookups.mark_exists(child.repartition(7, "more"), "fk", keys, "found", parents_unique=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
+
+
+def test_rows_without_reference_are_spread(spark, small_partitions):
+    child = spark.range(0, 8000, numPartitions=20).select(
+        F.when(F.col("id") % 10 == 9, F.col("id").cast("string")).alias("fk"), F.sha2(F.col("id").cast("string"), 256).alias("more")
+    )
+    joined = lookups.mark_exists(child, "fk", spark.range(1, 3000).select("id"), "found")
+    rows = joined.collect()
+    assert len(rows) == 8000 and sum(r.found is None for r in rows) == 7200
+    assert largest_share(joined) < 0.3
 
 
-def test_rows_without_reference_are_spread(spark):
-    child = spark.range(0, 4000, numPartitions=2).select(F.when(F.col("id") < 0, "1").alias("fk"))
-    keys = spark.range(1, 10).select("id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = lookups.mark_exists(child, "fk", keys, "found", hot_rows=100)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_each_parent_is_read_once(spark, tmp_path):
+    for name in ("patients", "doctors", "rows"):
+        spark.range(20).write.parquet(str(tmp_path / name))
+    domain = DOMAINS["admissions"]
+    raw = spark.read.parquet(str(tmp_path / "rows")).select(*[F.col("id").cast("string").alias(c) for c in domain.column_names])
+    parents = {name: spark.read.parquet(str(tmp_path / name)) for name in ("patients", "doctors")}
+    for shuffled in (False, True):
+        judged = rules.judge(raw, domain, parents, parents_unique=True, parents_empty=dict.fromkeys(parents, False), shuffled=shuffled)
+        assert plan(judged).count("FileScan") == 3
 
 
 # ---- validation ------------------------------------------------------------
@@ -212,8 +238,8 @@ def test_validation_never_pairs_rows_with_parents(spark):
     schema = ", ".join(f"{c} string" for c in domain.column_names) + ", load_time timestamp_ntz"
     raw = spark.createDataFrame([], schema)
     parents = {"patients": spark.range(5), "doctors": spark.range(5)}
-    for salted in (False, True):
-        text = plan(rules.judge(raw, domain, parents, salted=salted))
+    for shuffled in (False, True):
+        text = plan(rules.judge(raw, domain, parents, shuffled=shuffled))
         assert "NestedLoop" not in text and "Cartesian" not in text
 
 

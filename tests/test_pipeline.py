@@ -217,7 +217,7 @@ def test_csv_details(spark, tmp_path):
 
 
 def test_shuffled_lookups_give_the_same_tables(spark, tmp_path):
-    """A batch too large to broadcast its keys takes the salted shuffle joins."""
+    """A batch too large to broadcast its keys takes the shuffle joins."""
     wh = Warehouse(spark, str(tmp_path))
     for delivery, suffix in ((MASTER, "master"), (INCREMENT, "inc")):
         deliver(tmp_path, delivery, suffix)
@@ -225,7 +225,7 @@ def test_shuffled_lookups_give_the_same_tables(spark, tmp_path):
         for name in ("patients", "doctors"):
             load_domain(wh, name, small_batch=0)
         for name in ("admissions", "procedures", "billing"):
-            load_domain(wh, name, small_batch=0, salted=True, hot_rows=1)
+            load_domain(wh, name, small_batch=0, shuffled=True)
     assert {d: ids(wh, d) for d in DOMAINS} == {
         "patients": [1, 5, 6], "doctors": [10, 11], "admissions": [100, 101, 107],
         "procedures": [500, 501, 505], "billing": [900, 901, 905],

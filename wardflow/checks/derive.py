@@ -47,6 +47,12 @@ def _text(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
 
+def _person(key: str) -> Column:
+    """A patient's id; some have more digits than fit 64 bits."""
+    wide = F.concat(F.lit("9"), F.lpad(_text(key), 19, "0"))
+    return F.when(F.col(key) % 50 == 7, wide).otherwise(_text(key))
+
+
 def _time_text(time: Column) -> Column:
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss")
 
@@ -60,16 +66,17 @@ def raw_patients(spark: SparkSession, sf_dir: str, second: bool = False) -> Data
     key, nation = _text("c_custkey"), F.col("c_nationkey")
     born = F.date_add(F.lit("1950-01-01").cast("date"), F.floor("c_acctbal").cast("int") + 1000)
     return table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_acctbal") < -500, F.concat(F.lit("X"), key)).otherwise(key).alias("patient_id"),
+        F.when(F.col("c_acctbal") < -500, F.concat(F.lit("X"), key)).otherwise(_person("c_custkey")).alias("patient_id"),
         F.col("c_name").alias("name"),
         F.when(nation == 7, "1990-02-30").otherwise(_text(born)).alias("dob"),
         F.when(F.col("c_acctbal") < 5000, "F").otherwise("M").alias("gender"),
         F.when((F.col("c_mktsegment") == "FURNITURE") & (nation < 3), F.lit(None))
+        .when(nation == 9, "")
         .when(nation == 11, F.concat("c_name", F.lit(".example.org")))
         .otherwise(F.concat("c_name", F.lit("@example.org")))
         .alias("email"),
         F.concat(F.lit("555-"), key).alias("phone"),
-        F.concat("c_name", F.lit(', "Block '), _text(nation), F.lit('", Main St')).alias("address"),
+        F.concat("c_name", F.lit(', "Block '), _text(nation), F.lit('"\nMain St')).alias("address"),
         F.concat(F.lit("Moved " if second else "City "), _text(nation)).alias("city"),
         F.col("c_mktsegment").alias("state"),
         F.concat(F.lit("INS"), key).alias("insurance_id"),
@@ -111,7 +118,7 @@ def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((flag == "R") & (discount == 0.1), F.concat(F.lit("A"), key)).otherwise(key).alias("admission_id"),
         F.when((discount == 0.03) & (F.col("l_linestatus") == "F"), F.lit(None))
         .when((discount == 0.01) & (tax == 0.07), "unknown")
-        .otherwise(_text("o_custkey"))
+        .otherwise(_person("o_custkey"))
         .alias("patient_id"),
         _time_text(arrival).alias("admission_time"),
         F.when((tax == 0.08) & (discount == 0.05), "").otherwise(_time_text(leave)).alias("discharge_time"),
@@ -129,19 +136,20 @@ def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, value, ts = F.col("event_type"), F.col("value"), F.col("ts")
     key = _text("event_id")
     start = ts + F.make_dt_interval(secs=F.floor(value * 2))
-    early = (kind == "view") & (value > 400)
+    number = F.col("event_id")
+    early = ((kind == "view") & (value > 400)) | (number % 7 == 3)
     end = F.when(early, start - F.make_dt_interval(mins=F.lit(5))).otherwise(
         start + F.make_dt_interval(mins=F.lit(30))
     )
-    admission = F.col("event_id") * 10 + 1 + F.floor(value / 100)
+    admission = number * 10 + 1 + F.floor(value / 100)
     return table(spark, sf_dir, "events").select(
-        F.when((kind == "error") & (value > 450), F.concat(F.lit("P"), key)).otherwise(key).alias("procedure_id"),
-        F.when((kind == "click") & (value > 480), F.lit(None)).otherwise(_text(admission)).alias("admission_id"),
+        F.when(((kind == "error") & (value > 450)) | (number % 37 == 0), F.concat(F.lit("P"), key)).otherwise(key).alias("procedure_id"),
+        F.when(((kind == "click") & (value > 480)) | (number % 31 == 5), F.lit(None)).otherwise(_text(admission)).alias("admission_id"),
         _text("user_id").alias("patient_id"),
         kind.alias("procedure_name"),
         _text("user_id").alias("surgeon_id"),
         F.when((kind == "purchase") & (value < 50), F.lit(None)).otherwise(_time_text(ts)).alias("scheduled_time"),
-        F.when((kind == "signup") & (value < 20), F.lit(None)).otherwise(_time_text(start)).alias("start_time"),
+        F.when(((kind == "signup") & (value < 20)) | (number % 41 == 6), F.lit(None)).otherwise(_time_text(start)).alias("start_time"),
         _time_text(end).alias("end_time"),
         F.concat(F.lit("OR-"), _text("user_id")).alias("operating_room"),
         F.col("props").alias("anaesthesia_type"),
@@ -157,7 +165,7 @@ def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.when((urgency == "5") & (price > 450000), F.concat(F.lit("B"), key)).otherwise(key).alias("bill_id"),
         _text(F.col("o_orderkey") * 10 + urgency.cast("bigint")).alias("admission_id"),
-        _text("o_custkey").alias("patient_id"),
+        _person("o_custkey").alias("patient_id"),
         F.when(price < 5000, "n/a")
         .when((F.col("o_orderstatus") == "P") & (price > 400000), F.concat(F.lit("-"), amount))
         .otherwise(amount)

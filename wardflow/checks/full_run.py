@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.checks import derive
 from wardflow.domains import DOMAINS
-from wardflow.sources.csv_drop import CSV_OPTIONS
+from wardflow.sources.csv_drop import CSV_FORMAT
 from wardflow.sources.warehouse import Warehouse
 from wardflow.streaming.pipeline import RunReport, run_pipeline
 
@@ -35,8 +35,7 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def write_drop(rows: DataFrame, name: str, folder: str) -> None:
     """Deliver rows as CSV files, in the format the drop folders use."""
-    options = {k: CSV_OPTIONS[k] for k in ("header", "sep", "quote", "escape")}
-    rows.select(*DOMAINS[name].column_names).write.mode("append").options(**options).csv(folder)
+    rows.select(*DOMAINS[name].column_names).write.mode("append").options(**CSV_FORMAT).csv(folder)
 
 
 def first_delivery(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

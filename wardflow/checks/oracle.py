@@ -5,16 +5,18 @@ from __future__ import annotations
 # Common table expressions, each built on the ones before it.
 _CTES: dict[str, str] = {
     "raw_patients": """
-        SELECT CASE WHEN c_acctbal < -500 THEN 'X' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS patient_id,
+        SELECT CASE WHEN c_acctbal < -500 THEN 'X' || c_custkey WHEN c_custkey % 50 = 7 THEN '9' || lpad(CAST(c_custkey AS VARCHAR), 19, '0')
+                    ELSE CAST(c_custkey AS VARCHAR) END AS patient_id,
                c_name AS name,
                CASE WHEN c_nationkey = 7 THEN '1990-02-30'
                     ELSE strftime(DATE '1950-01-01' + (CAST(floor(c_acctbal) AS INT) + 1000), '%Y-%m-%d') END AS dob,
                CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'M' END AS gender,
                CASE WHEN c_mktsegment = 'FURNITURE' AND c_nationkey < 3 THEN NULL
+                    WHEN c_nationkey = 9 THEN ''
                     WHEN c_nationkey = 11 THEN c_name || '.example.org'
                     ELSE c_name || '@example.org' END AS email,
                '555-' || c_custkey AS phone,
-               c_name || ', "Block ' || c_nationkey || '", Main St' AS address,
+               c_name || ', "Block ' || c_nationkey || '"' || chr(10) || 'Main St' AS address,
                'City ' || c_nationkey AS city,
                c_mktsegment AS state,
                'INS' || c_custkey AS insurance_id,
@@ -46,6 +48,7 @@ _CTES: dict[str, str] = {
                     ELSE CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) END AS admission_id,
                CASE WHEN l_discount = 0.03 AND l_linestatus = 'F' THEN NULL
                     WHEN l_discount = 0.01 AND l_tax = 0.07 THEN 'unknown'
+                    WHEN o_custkey % 50 = 7 THEN '9' || lpad(CAST(o_custkey AS VARCHAR), 19, '0')
                     ELSE CAST(o_custkey AS VARCHAR) END AS patient_id,
                strftime(o_orderdate + to_minutes(l_linenumber * 37), '%Y-%m-%d %H:%M:%S') AS admission_time,
                CASE WHEN l_tax = 0.08 AND l_discount = 0.05 THEN ''
@@ -61,18 +64,18 @@ _CTES: dict[str, str] = {
                l_shipdate + to_seconds(CAST(l_quantity AS INT)) AS load_time
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "raw_procedures": """
-        SELECT CASE WHEN event_type = 'error' AND value > 450 THEN 'P' || event_id
+        SELECT CASE WHEN event_type = 'error' AND value > 450 OR event_id % 37 = 0 THEN 'P' || event_id
                     ELSE CAST(event_id AS VARCHAR) END AS procedure_id,
-               CASE WHEN event_type = 'click' AND value > 480 THEN NULL
+               CASE WHEN event_type = 'click' AND value > 480 OR event_id % 31 = 5 THEN NULL
                     ELSE CAST(event_id * 10 + 1 + CAST(floor(value / 100) AS BIGINT) AS VARCHAR) END AS admission_id,
                CAST(user_id AS VARCHAR) AS patient_id,
                event_type AS procedure_name,
                CAST(user_id AS VARCHAR) AS surgeon_id,
                CASE WHEN event_type = 'purchase' AND value < 50 THEN NULL
                     ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS scheduled_time,
-               CASE WHEN event_type = 'signup' AND value < 20 THEN NULL
+               CASE WHEN event_type = 'signup' AND value < 20 OR event_id % 41 = 6 THEN NULL
                     ELSE strftime(begun, '%Y-%m-%d %H:%M:%S') END AS start_time,
-               strftime(CASE WHEN event_type = 'view' AND value > 400 THEN begun - INTERVAL 5 MINUTE
+               strftime(CASE WHEN event_type = 'view' AND value > 400 OR event_id % 7 = 3 THEN begun - INTERVAL 5 MINUTE
                              ELSE begun + INTERVAL 30 MINUTE END, '%Y-%m-%d %H:%M:%S') AS end_time,
                'OR-' || user_id AS operating_room,
                props AS anaesthesia_type,
@@ -83,7 +86,8 @@ _CTES: dict[str, str] = {
         SELECT CASE WHEN o_orderpriority LIKE '5%' AND o_totalprice > 450000 THEN 'B' || o_orderkey
                     ELSE CAST(o_orderkey AS VARCHAR) END AS bill_id,
                CAST(o_orderkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS VARCHAR) AS admission_id,
-               CAST(o_custkey AS VARCHAR) AS patient_id,
+               CASE WHEN o_custkey % 50 = 7 THEN '9' || lpad(CAST(o_custkey AS VARCHAR), 19, '0')
+                    ELSE CAST(o_custkey AS VARCHAR) END AS patient_id,
                CASE WHEN o_totalprice < 5000 THEN 'n/a'
                     WHEN o_orderstatus = 'P' AND o_totalprice > 400000
                     THEN '-' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)
@@ -99,7 +103,7 @@ _CTES: dict[str, str] = {
 
 
 def _key(column: str) -> str:
-    return f"TRY_CAST(TRY_CAST({column} AS DECIMAL(38,0)) AS BIGINT)"
+    return f"TRY_CAST({column} AS DECIMAL(38,0))"
 
 
 def _amount(column: str) -> str:
@@ -495,7 +499,7 @@ def all_sql() -> dict[str, str]:
         ),
         "merge_admissions": _merged(
             "admissions",
-            "(SELECT * REPLACE (CAST(-1 AS BIGINT) AS patient_id, 'OLD' AS department) "
+            "(SELECT * REPLACE (CAST(-1 AS DECIMAL(38,0)) AS patient_id, 'OLD' AS department) "
             "FROM silver_admissions WHERE ward = 'F')",
             "silver_admissions",
             ("patient_id",),

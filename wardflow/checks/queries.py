@@ -224,10 +224,10 @@ def fk_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def fk_not_in_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shuffled form with hot keys spread, as used beyond the broadcast size."""
+    """The shuffled form, as used beyond the broadcast size: hot keys are Spark's skew join's."""
     parents = derive.table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select("s_suppkey")
     rows = derive.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    return lookups.not_in(rows, "l_suppkey", parents, parents_unique=True, salted=True, hot_rows=500)
+    return lookups.not_in(rows, "l_suppkey", parents, parents_unique=True, shuffled=True)
 
 
 @_query
@@ -269,7 +269,7 @@ def merge_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def merge_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = derive.silver(spark, sf_dir, "admissions").where("ward = 'F'")
-    target = loaded.withColumns({"patient_id": F.lit(-1).cast("bigint"), "department": F.lit("OLD")})
+    target = loaded.withColumns({"patient_id": F.lit(-1).cast("decimal(38,0)"), "department": F.lit("OLD")})
     source = derive.silver(spark, sf_dir, "admissions")
     return merge(target, source, "admission_id", DOMAINS["admissions"].update_columns)
 

@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# Silver column kinds and the Spark type each one is stored as. Event times are
+# Silver column kinds and the Spark type each one is stored as. Whole numbers have
+# up to 38 digits: keys issued elsewhere need not fit 64 bits. Event times are
 # zone-less wall-clock times, so results never depend on the session time zone.
 SPARK_TYPES: dict[str, T.DataType] = {
-    "key": T.LongType(),
-    "int": T.LongType(),
+    "key": T.DecimalType(38, 0),
+    "int": T.DecimalType(38, 0),
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp": T.TimestampNTZType(),
@@ -53,6 +54,7 @@ class Domain:
     loaded: str = ""
     no_data: str | None = None  # status when the feed is empty; None = no guard
     pii: tuple[str, ...] = ()
+    multi_line: bool = True  # a quoted field of its files may hold line breaks
 
     @property
     def column_names(self) -> list[str]:

@@ -11,10 +11,14 @@ def try_number(text: Column) -> Column:
     return text.try_cast("decimal(38,0)")
 
 
+def whole_number(value: Column) -> Column:
+    """A number in the type of keys."""
+    return value.cast("decimal(38,0)")
+
+
 def try_key(text: Column) -> Column:
-    """A text as a 64-bit key. Numbers beyond 64 bits count as not parseable, so
-    such a row is logged as invalid instead of being stored without a key."""
-    return try_number(text).try_cast("bigint")
+    """A text as a key: a whole number of up to 38 digits."""
+    return try_number(text)
 
 
 def try_date(text: Column) -> Column:

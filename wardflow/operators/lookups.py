@@ -1,4 +1,4 @@
-"""Does a referenced key exist? One marker join, safe for hot keys.
+"""Does a referenced key exist? One marker join, without pairing rows and parents.
 
 ``fk NOT IN (subquery) OR other`` makes Spark pair every row with every parent,
 so existence is a left join to the distinct parent keys that yields a flag with
@@ -9,9 +9,11 @@ SQL's three values:
   reference is NULL and there are no parents at all,
 * NULL  - the reference is NULL and parents exist: neither IN nor NOT IN holds.
 
-Small parents are broadcast by Spark's own size check. Larger ones need a
-shuffle on the referenced key, where one parent may own a large share of the
-rows; those keys are spread over as many salts as their row count calls for.
+Spark broadcasts small parents by its own size check. Larger ones are shuffled by
+the referenced key. One parent may own a large share of the rows, and rows without
+a reference share one place too; Spark's adaptive skew join splits such a partition
+by the map tasks it came from. The joined keys are distinct, so only the side of the
+rows is ever split, and a task that runs again reads the same blocks again.
 """
 
 from __future__ import annotations
@@ -19,49 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.functions.casts import try_key
-from wardflow.functions.sizing import fits_broadcast
+from wardflow.functions.casts import try_key, whole_number
 
-# Rows of one key that a single shuffle task may receive before it is salted.
-HOT_ROWS = 2_000_000
-# Keys listed as hot. A key outside the list holds less than 1/4096 of the
-# rows, so it cannot be a hot spot; this bounds what is broadcast.
-MAX_HOT_KEYS = 4096
-# Rows without a reference match nothing; spread them evenly.
-NULL_SALTS = 4096
 
-
-def _salted_join(
-    child: DataFrame, key: str, keys: DataFrame, parent_key: str, how: str, row_id: str | None, hot_rows: int
-) -> DataFrame:
-    if row_id is None:
-        row_id = f"{key}_row"
-        child = child.withColumn(row_id, F.monotonically_increasing_id())
-    hot = F.broadcast(
-        child.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_hot_count"))
-        .where(F.col("_hot_count") > hot_rows)
-        .orderBy(F.desc("_hot_count"), "_hot_key")
-        .limit(MAX_HOT_KEYS)
-        .select("_hot_key", F.ceil(F.col("_hot_count") / F.lit(hot_rows)).alias("_salts"))
-    )
-    salts = F.coalesce("_salts", F.when(F.col(key).isNull(), NULL_SALTS).otherwise(1))
-    left = (
-        child.join(hot, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.pmod(F.col(row_id), salts))
-        .drop("_hot_key", "_salts")
-    )
-    right = (
-        keys.join(hot, F.col(parent_key) == F.col("_hot_key"), "left")
-        .withColumn(
-            "_parent_salt",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)),
-        )
-        .drop("_hot_key", "_salts")
-    )
-    same = (F.col(key) == F.col(parent_key)) & (F.col("_salt") == F.col("_parent_salt"))
-    return left.join(right, same, how).drop("_salt", "_parent_salt")
+def parent_keys(parents: DataFrame, name: str, *, small: bool = False, shuffled: bool = False) -> DataFrame:
+    """The keys of the one-column ``parents``, none of them NULL. ``small`` says the
+    caller has bounded their number; ``shuffled`` rules a broadcast out."""
+    keys = parents.select(whole_number(F.col(parents.columns[0])).alias(name)).where(F.col(name).isNotNull())
+    if small:
+        return F.broadcast(keys)
+    return keys.hint("shuffle_merge") if shuffled else keys
 
 
 def mark_exists(
@@ -73,69 +42,35 @@ def mark_exists(
     parents_unique: bool = False,
     parents_small: bool = False,
     parents_empty: Column | bool | None = None,
-    row_id: str | None = None,
-    salted: bool | None = None,
-    hot_rows: int = HOT_ROWS,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Add the boolean ``flag``: is ``column`` among the one-column ``parents``?
-
-    ``parents_small`` says the caller has bounded their number: they are broadcast.
-    ``row_id`` names a column that differs per row and is stable when a task
-    reruns; the salted form makes one itself when none is given, which is
-    stable if ``child`` reads files. ``salted`` forces either form.
-    """
-    key, parent_key, hit = f"_{flag}_key", f"_{flag}_parent", f"_{flag}_hit"
+    ``parents_empty``, if known, saves looking whether there are any."""
+    key, parent_key = f"_{flag}_key", f"_{flag}_parent"
     child_columns = child.columns
     rows = child.withColumn(key, try_key(F.col(column)))
-    keys = parents.select(F.col(parents.columns[0]).cast("bigint").alias(parent_key)).where(
-        F.col(parent_key).isNotNull()
-    )
     if not parents_unique:
-        keys = keys.distinct()
+        parents = parents.distinct()
+    keys = parent_keys(parents, parent_key, small=parents_small, shuffled=shuffled)
     if parents_empty is None:
-        # Counting the same distinct keys lets Spark reuse their shuffle.
-        some = keys.limit(1) if parents_unique else keys
+        some = parents.where(F.col(parents.columns[0]).isNotNull()).limit(1)
         parents_empty = some.agg((F.count(F.lit(1)) == 0).alias("empty")).scalar()
     elif isinstance(parents_empty, bool):
         parents_empty = F.lit(parents_empty)
-    keys = keys.withColumn(hit, F.lit(True))
-
-    if parents_small:
-        keys, salted = F.broadcast(keys), False
-    if salted is None:
-        salted = not fits_broadcast(keys)
-    if salted:
-        joined = _salted_join(rows, key, keys, parent_key, "left", row_id, hot_rows)
-    else:
-        joined = rows.join(keys, F.col(key) == F.col(parent_key), "left")
+    joined = rows.join(keys, F.col(key) == F.col(parent_key), "left")
 
     unknown = F.col(column).isNull() & ~parents_empty
-    marked = F.when(F.col(hit), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)
+    marked = F.when(F.col(parent_key).isNotNull(), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)
     return joined.select(*child_columns, marked.alias(flag))
 
 
-def semi(
-    child: DataFrame,
-    column: str,
-    parents: DataFrame,
-    *,
-    row_id: str | None = None,
-    salted: bool | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def semi(child: DataFrame, column: str, parents: DataFrame, *, shuffled: bool = False) -> DataFrame:
     """Rows whose reference exists (``column IN parents``): a semi join, which
     needs neither distinct parents nor a test whether there are any."""
     key, parent_key = f"_{column}_key", f"_{column}_parent"
-    columns = child.columns
     rows = child.withColumn(key, try_key(F.col(column))).where(F.col(key).isNotNull())
-    keys = parents.select(F.col(parents.columns[0]).cast("bigint").alias(parent_key))
-    if salted is None:
-        salted = not fits_broadcast(keys)
-    if salted:
-        joined = _salted_join(rows, key, keys, parent_key, "left_semi", row_id, hot_rows)
-    else:
-        joined = rows.join(keys, F.col(key) == F.col(parent_key), "left_semi")
-    return joined.select(*columns)
+    keys = parent_keys(parents, parent_key, shuffled=shuffled)
+    return rows.join(keys, F.col(key) == F.col(parent_key), "left_semi").select(*child.columns)
 
 
 def not_in(child: DataFrame, column: str, parents: DataFrame, **options) -> DataFrame:

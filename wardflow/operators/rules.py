@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from wardflow.domains import BUSINESS_ERROR, DATA_ERROR, LOAD_TIME, Domain
 from wardflow.functions.casts import silver_value
-from wardflow.functions.sizing import fits_broadcast
-from wardflow.operators.lookups import HOT_ROWS, mark_exists, semi
+from wardflow.operators.lookups import mark_exists, semi
 
 TYPED_OK, BUSINESS_OK = "_typed_ok", "_business_ok"
 VERDICT = "verdict"
@@ -61,35 +60,14 @@ def row_rules(domain: Domain) -> list[Column]:
     return parts
 
 
-def needs_salt(parents: dict[str, DataFrame], domain: Domain, salted: bool | None) -> dict[str, bool]:
-    """Per reference: is its lookup a shuffle join (and hence salted)?"""
-    return {
-        fk.column: not fits_broadcast(parents[fk.parent]) if salted is None else salted
-        for fk in domain.foreign_keys
-    }
-
-
 def select_accepted(
-    raw: DataFrame,
-    domain: Domain,
-    parents: dict[str, DataFrame] | None = None,
-    *,
-    salted: bool | None = None,
-    hot_rows: int = HOT_ROWS,
+    raw: DataFrame, domain: Domain, parents: dict[str, DataFrame] | None = None, *, shuffled: bool = False
 ) -> DataFrame:
     """Only the rows that pass both levels: filters and semi joins, cheapest first."""
-    columns = raw.columns
-    forms = needs_salt(parents or {}, domain, salted)
-    rows, row_id = raw, None
-    if any(forms.values()):
-        row_id = "_row"
-        rows = rows.withColumn(row_id, F.monotonically_increasing_id())
-    rows = rows.where(reduce(and_, row_rules(domain), type_rules(domain)))
+    rows = raw.where(reduce(and_, row_rules(domain), type_rules(domain)))
     for fk in domain.foreign_keys:
-        rows = semi(
-            rows, fk.column, parents[fk.parent], row_id=row_id, salted=forms[fk.column], hot_rows=hot_rows
-        )
-    return rows.select(*columns)
+        rows = semi(rows, fk.column, parents[fk.parent], shuffled=shuffled)
+    return rows
 
 
 def judge(
@@ -98,8 +76,7 @@ def judge(
     parents: dict[str, DataFrame] | None = None,
     *,
     strict: bool = False,
-    salted: bool | None = None,
-    hot_rows: int = HOT_ROWS,
+    shuffled: bool = False,
     parents_unique: bool = False,
     parents_small: bool = False,
     parents_empty: dict[str, Column | bool] | None = None,
@@ -114,13 +91,6 @@ def judge(
     ok1, ok2 = type_rules(domain), F.lit(True)
     rows = raw
     if domain.has_business_rules:
-        forms = needs_salt(parents, domain, False if parents_small else salted)
-        row_id = None
-        if any(forms.values()):
-            # Numbered at the scan, before any shuffle, so a rerun task
-            # produces the same numbers and the salts stay consistent.
-            row_id = "_row"
-            rows = rows.withColumn(row_id, F.monotonically_increasing_id())
         for fk in domain.foreign_keys:
             rows = mark_exists(
                 rows,
@@ -130,9 +100,7 @@ def judge(
                 parents_unique=parents_unique,
                 parents_small=parents_small,
                 parents_empty=(parents_empty or {}).get(fk.parent),
-                row_id=row_id,
-                salted=forms[fk.column],
-                hot_rows=hot_rows,
+                shuffled=shuffled,
             )
         found = [F.col(f"_found_{fk.column}") for fk in domain.foreign_keys]
         ok2 = reduce(and_, found + row_rules(domain))

@@ -87,7 +87,7 @@ def load_batch(
     The tables may be any number of times larger than the batch. A batch of up
     to ``small_batch`` rows never makes them shuffle: its keys are broadcast to
     the scans of the parents and of the target. A larger one is joined to them
-    by shuffles, with hot references salted.
+    by shuffles; hot references are split by Spark's adaptive skew join.
 
     Repeating a load with the same number gives the same tables: the log folder
     and the segment are replaced, and the merge looks at the state before it.
