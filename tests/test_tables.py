@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.sources import folders
-from wardflow.sources.tables import Reach, Segment, SegmentedTable
+from wardflow.sources.tables import Reach, Segment, SegmentedTable, bucket_of
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
 
@@ -95,7 +95,7 @@ def test_small_insert_segments_are_combined(spark, table):
 def test_unfinished_segment_is_invisible(spark, table):
     table.write(rows(spark, k1="a"), 1)
     table.write(rows(spark, k2="b"), 2)
-    folders.delete(spark, f"{table.path}/seg-2-2/_rows-1-0")
+    folders.delete(spark, f"{table.path}/{Segment(2, 2).name}/_rows-1-0")
     assert content(table.read()) == {1: "a"}
     table.write(rows(spark, k2="b"), 2)
     assert content(table.read()) == {1: "a", 2: "b"}
@@ -123,3 +123,44 @@ def test_replace_makes_the_rows_the_whole_table(spark, table):
     fill(spark, table)
     table.replace(table.read().withColumn("v", F.lit("n")).where("k > 1"), 4)
     assert content(table.read()) == {2: "n", 3: "n"}
+
+
+def files_read(df) -> int:
+    """Files the scans of a plan open, by Spark's own listing."""
+    df.collect()
+    leaves, found = df._jdf.queryExecution().executedPlan().collectLeaves(), 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            leaf = leaf.executedPlan().collectLeaves().apply(0)
+        if "FileSourceScan" in leaf.getClass().getSimpleName():
+            found += leaf.metrics().apply("numFiles").value()
+    return found
+
+
+def test_a_small_batch_opens_only_the_buckets_of_its_keys(spark, table):
+    for load in (1, 2):
+        data = spark.range(load * 10_000, load * 10_000 + 5_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        table.write(data, load)
+    whole = files_read(table.read())
+    touched = spark.createDataFrame([(10_007,), (20_003,)], "k bigint")
+    buckets = tuple(r[0] for r in touched.select(bucket_of(F.col("k"))).collect())
+    near = table.read(reach=Reach(10_007, 20_003, touched, buckets))
+    assert sorted(r.k for r in near.collect()) == [10_007, 20_003]
+    assert whole >= 2 * table.buckets and files_read(near) <= 2 * len(buckets)
+
+
+def test_segments_with_updates_are_combined_too(spark, table):
+    table.write(rows(spark, k1="a", k2="b"), 1)
+    for load in range(2, 8):
+        table.write(rows(spark, update=[1], k1=f"v{load}", **{f"k{load + 10}": "new"}), load)
+        table.fold(count=3)
+        table.prune()
+    live = table.live()
+    assert len(live) <= 3 and live[0].low == 1
+    assert content(table.read()) == {1: "v7", 2: "b"} | {n + 10: "new" for n in range(2, 8)}
+    assert content(table.read(before=7)) == {1: "v6", 2: "b"} | {n + 10: "new" for n in range(2, 7)}
+    for load in range(8, 30):
+        table.write(rows(spark, update=[1], k1=f"v{load}"), load)
+        table.fold(count=2)
+    assert len(table.live()) <= 4 and content(table.read())[1] == "v29"

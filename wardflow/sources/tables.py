@@ -2,7 +2,7 @@
 
 Parquet has no MERGE, and rewriting a table of terabytes for every small batch
 is out of the question. A table is therefore a folder of immutable *segments*
-``seg-<low>-<high>``, each the outcome of the loads numbered low to high, and a
+``_segment=<low>-<high>``, each the outcome of the loads numbered low to high, and a
 load adds one segment holding only the rows it inserted or changed.
 
 * A segment counts once its marker file is there, which is written last. So
@@ -13,15 +13,19 @@ load adds one segment holding only the rows it inserted or changed.
   running anything, how many rows can supersede others: none means a plain
   union of scans, up to ``BROADCAST_ROWS`` means these keys are broadcast and
   the table is not shuffled, and only beyond that both sides are.
-* ``fold`` writes a fresh base when updates have outgrown both that bound and a
-  share of the table, so each row is rewritten a bounded number of times.
+* A segment is partitioned by a hash of the key and sorted by key in each file, so
+  a small batch opens only the partitions its keys are in and, where its keys lie
+  close together, only the row groups around them.
+* ``fold`` combines many segments of single loads into one, rows keeping the number
+  of their load. It writes a fresh base when updates have outgrown both the bound
+  above and a share of the table, or when combined segments have become many.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +33,16 @@ from wardflow.sources import folders
 
 SEQUENCE = "_seq"
 UPDATE = "_update"
+SEGMENT = "_segment"
+BUCKET = "_bucket"
+BUCKETS = 32
 BROADCAST_ROWS = 1_000_000  # keys of 8 bytes: some tens of MB once hashed
 FOLD_SHARE = 0.2  # updates beyond this share of the segments' rows call for a new base
-FOLD_COUNT = 64  # small segments of single loads that are combined into one
+FOLD_COUNT = 64  # segments of single loads that are combined into one, and such that call for a base
+
+
+def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 @dataclass(frozen=True, order=True)
@@ -43,24 +54,28 @@ class Segment:
 
     @property
     def name(self) -> str:
-        return f"seg-{self.low}-{self.high}"
+        return f"{SEGMENT}={self.low}-{self.high}"
 
 
 @dataclass(frozen=True)
 class Reach:
-    """The part of a table a batch can touch: a key range and, if the batch is
-    small, its keys themselves (at most ``BROADCAST_ROWS``, counted)."""
+    """The part of a table a batch can touch: a key range, the buckets of its keys
+    and, if the batch is small, its keys themselves (at most ``BROADCAST_ROWS``,
+    counted)."""
 
     low: int | None
     high: int | None
     keys: DataFrame | None = None
+    buckets: tuple[int, ...] | None = None
 
     def narrow(self, rows: DataFrame, key: str) -> DataFrame:
-        """The range prunes Parquet row groups; the keys are matched in the scan
-        stage itself, so what is left to shuffle is no larger than the batch."""
+        """Buckets prune files and the range row groups; the keys are matched in the
+        scan stage itself, so what is left to shuffle is no larger than the batch."""
         if self.low is None:
             return rows.where(F.lit(False))
         near = rows.where(F.col(key).between(self.low, self.high))
+        if self.buckets is not None:
+            near = near.where(F.col(BUCKET).isin(*self.buckets))
         if self.keys is None:
             return near
         wanted = F.broadcast(self.keys.toDF("_wanted"))
@@ -74,11 +89,12 @@ class SegmentedTable:
     schema: T.StructType
     key: str
     broadcast_rows: int = BROADCAST_ROWS
+    buckets: int = BUCKETS
 
     def committed(self) -> set[Segment]:
         found = set()
         for folder, marker in folders.markers(self.spark, self.path, "_rows-*"):
-            low, high = folder.removeprefix("seg-").split("-")
+            low, high = folder.removeprefix(f"{SEGMENT}=").split("-")
             rows, updates = marker.removeprefix("_rows-").split("-")
             found.add(Segment(int(low), int(high), int(rows), int(updates)))
         return found
@@ -99,12 +115,11 @@ class SegmentedTable:
         return max((s.high for s in self.committed()), default=0)
 
     def scan(self, segments: list[Segment], reach: Reach | None = None) -> DataFrame:
-        stored = T.StructType(
-            [*self.schema.fields, T.StructField(SEQUENCE, T.LongType()), T.StructField(UPDATE, T.BooleanType())]
-        )
+        own = [(SEQUENCE, T.LongType()), (UPDATE, T.BooleanType()), (SEGMENT, T.StringType()), (BUCKET, T.IntegerType())]
+        stored = T.StructType([*self.schema.fields, *[T.StructField(*column) for column in own]])
         if not segments:
             return self.spark.createDataFrame([], stored)
-        rows = self.spark.read.schema(stored).parquet(*[f"{self.path}/{s.name}" for s in segments])
+        rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*[f"{self.path}/{s.name}" for s in segments])
         return rows if reach is None else reach.narrow(rows, self.key)
 
     def _images(self, segments: list[Segment], reach: Reach | None = None) -> DataFrame:
@@ -137,7 +152,7 @@ class SegmentedTable:
 
     def replace(self, rows: DataFrame, sequence: int) -> Segment:
         """Make ``rows`` the whole table as of load ``sequence``."""
-        return self._write(rows.drop(UPDATE), Segment(0, sequence))
+        return self._write(rows.drop(SEQUENCE, UPDATE), Segment(0, sequence))
 
     def copy(self, rows: DataFrame, segment: Segment) -> Segment:
         """Store rows derived one to one from another table's segment."""
@@ -145,14 +160,17 @@ class SegmentedTable:
 
     def _write(self, rows: DataFrame, segment: Segment) -> Segment:
         update = F.col(UPDATE) if UPDATE in rows.columns else F.lit(False)
-        sequence = F.lit(segment.high).cast("bigint")
-        stored = rows.select(*self.schema.names, sequence.alias(SEQUENCE), update.alias(UPDATE))
+        sequence = F.col(SEQUENCE) if SEQUENCE in rows.columns else F.lit(segment.high).cast("bigint")
+        bucket = bucket_of(F.col(self.key), self.buckets).alias(BUCKET)
+        stored = rows.select(*self.schema.names, sequence.alias(SEQUENCE), update.alias(UPDATE), bucket)
+        # Gathered by bucket, large buckets in several tasks: few files, each sorted by key.
+        stored = stored.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, self.key)
         counts = Observation()
         stored = stored.observe(
             counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(UPDATE)).alias("updates")
         )
         folder = f"{self.path}/{segment.name}"
-        stored.write.mode("overwrite").parquet(folder)
+        stored.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         done = Segment(segment.low, segment.high, counts.get["rows"], counts.get["updates"])
         folders.touch(self.spark, f"{folder}/_rows-{done.rows}-{done.updates}")
         return done
@@ -160,14 +178,10 @@ class SegmentedTable:
     def fold(self, share: float = FOLD_SHARE, count: int = FOLD_COUNT) -> Segment | None:
         """Combine segments if that is due; returns the new one."""
         segments = self.live()
-        updates = sum(s.updates for s in segments)
-        if updates > self.broadcast_rows and updates > share * sum(s.rows for s in segments):
-            rows = self._images(segments)
-            # Clustered by key, so that a key range reads few row groups.
-            base = rows.repartitionByRange(self.key).sortWithinPartitions(self.key)
-            return self._write(base.drop(UPDATE), Segment(0, segments[-1].high))
-        if updates:
-            return None  # images are resolved per load number; keep the segments apart
+        updates, rows = sum(s.updates for s in segments), sum(s.rows for s in segments)
+        combined = sum(0 < s.low < s.high for s in segments)
+        if (updates > self.broadcast_rows and updates > share * rows) or combined >= count:
+            return self.replace(self._images(segments), segments[-1].high)
         tail: list[Segment] = []
         for segment in reversed(segments):
             if segment.low != segment.high:
@@ -175,7 +189,8 @@ class SegmentedTable:
             tail.insert(0, segment)
         if len(tail) < count:
             return None
-        return self._write(self.scan(tail), Segment(tail[0].low, tail[-1].high))
+        # Rows keep their load number, so they still supersede older images of their keys.
+        return self._write(self._images(tail), Segment(tail[0].low, tail[-1].high))
 
     def prune(self) -> list[Segment]:
         """Delete segments that neither the table nor a retry of its last load needs."""

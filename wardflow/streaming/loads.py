@@ -16,7 +16,7 @@ from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.merge import merge_changes
 from wardflow.sources import folders
 from wardflow.sources.exception_log import write_exceptions
-from wardflow.sources.tables import BROADCAST_ROWS, Reach
+from wardflow.sources.tables import BROADCAST_ROWS, BUCKETS, Reach, bucket_of
 from wardflow.sources.warehouse import LOADS_PER_GENERATION, Warehouse
 
 LANDED_FILE = "landed_file"
@@ -53,11 +53,12 @@ def outcomes() -> list[Column]:
 
 
 def measure(rows: DataFrame, columns: list[str], *counts: Column) -> dict[str, int]:
-    """Row count, smallest and largest key of every column, and further counts:
-    one aggregate over a few columns."""
+    """Row count, smallest and largest key of every column and the buckets its keys are
+    in (a few dozen at most), and further counts: one aggregate over a few columns."""
     keys = {c: try_key(F.col(c)) for c in columns}
     ends = [f(k).alias(f"{f.__name__}_{c}") for c, k in keys.items() for f in (F.min, F.max)]
-    return rows.agg(F.count(F.lit(1)).alias("rows"), *ends, *counts).first().asDict()
+    buckets = [F.collect_set(F.when(k.isNotNull(), bucket_of(k, BUCKETS))).alias(f"buckets_{c}") for c, k in keys.items()]
+    return rows.agg(F.count(F.lit(1)).alias("rows"), *ends, *buckets, *counts).first().asDict()
 
 
 def reach_of(rows: DataFrame, columns: list[str], seen: dict[str, int], small_batch: int) -> dict[str, Reach]:
@@ -67,7 +68,7 @@ def reach_of(rows: DataFrame, columns: list[str], seen: dict[str, int], small_ba
         keys = None
         if seen["rows"] <= small_batch:
             keys = rows.select(try_key(F.col(c)).alias(c)).where(F.col(c).isNotNull()).distinct()
-        reach[c] = Reach(seen[f"min_{c}"], seen[f"max_{c}"], keys)
+        reach[c] = Reach(seen[f"min_{c}"], seen[f"max_{c}"], keys, tuple(sorted(seen[f"buckets_{c}"])))
     return reach
 
 

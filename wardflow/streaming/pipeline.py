@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.domains import DOMAINS
 from wardflow.operators import scd2
 from wardflow.plans.facts import FACTS
-from wardflow.sources.tables import UPDATE
+from wardflow.sources import exception_log, folders
+from wardflow.sources.tables import SEQUENCE, UPDATE
 from wardflow.sources.warehouse import DIMENSIONS, Warehouse
 from wardflow.streaming.ingest import ingest_available
 from wardflow.streaming.loads import LoadReport, load_domain
@@ -38,7 +39,7 @@ def refresh_fact(wh: Warehouse, name: str) -> int:
     have = fact.committed()
     missing = [s for s in silver.live() if s not in have]
     for segment in missing:
-        fact.copy(FACTS[name](silver.scan([segment]), UPDATE), segment)
+        fact.copy(FACTS[name](silver.scan([segment]), SEQUENCE, UPDATE), segment)
     return len(missing)
 
 
@@ -71,22 +72,36 @@ def refresh_facts(wh: Warehouse) -> None:
 def refresh_dimension(
     wh: Warehouse, dim: str, as_of: dt.date | None = None, *, only_changed: bool = False
 ) -> None:
-    """Close and reopen versions. Closed ones are appended to the history, the
-    current ones replaced; history is never read or rewritten. The write of the
-    current rows commits the refresh."""
+    """Close and reopen versions. The outcome is evaluated once, for one day, and staged;
+    closed versions are appended to the history, the current ones replaced. The write of
+    the current rows commits the refresh."""
     domain = DOMAINS[DIMENSIONS[dim]]
     current, history = wh.dim_current(dim), wh.dim_history(dim)
     sequence = current.last() + 1
-    silver = wh.silver(domain.name)
-    after = scd2.refresh(current.read(), silver, domain.key, as_of, only_changed=only_changed)
-    history.write(after.where(after[scd2.FLAG] != scd2.CURRENT), sequence)
-    current.replace(scd2.current(after), sequence)
+    as_of = as_of or wh.spark.sql("SELECT current_date()").first()[0]
+    after = scd2.refresh(current.read(), wh.silver(domain.name), domain.key, as_of, only_changed=only_changed)
+    path = f"{folders.stage_folder(wh.spark, wh.root)}/{dim}-{sequence}"
+    after.write.mode("overwrite").partitionBy(scd2.FLAG).parquet(path)
+    staged = wh.spark.read.schema(after.schema).parquet(path)
+    history.write(staged.where(staged[scd2.FLAG] != scd2.CURRENT), sequence)
+    current.replace(scd2.current(staged), sequence)
+    folders.delete(wh.spark, path)
+    history.fold()
 
 
 def refresh_dimensions(wh: Warehouse, as_of: dt.date | None = None, *, only_changed: bool = False) -> None:
     side_by_side(lambda dim: refresh_dimension(wh, dim, as_of, only_changed=only_changed), DIMENSIONS)
 
 
+def housekeep(wh: Warehouse) -> None:
+    """Delete what tables no longer need. Called before a run, it spares what was still in
+    use when the run before it began to replace it."""
+    tables = [wh.silver_table(d) for d in DOMAINS] + [wh.fact_table(f) for f in FACTS]
+    tables += [t for dim in DIMENSIONS for t in (wh.dim_current(dim), wh.dim_history(dim))]
+    for table in [*tables, *(exception_log.log_table(wh.spark, wh.exceptions_path, d) for d in DOMAINS)]:
+        table.prune()
+
+
 def run_pipeline(
     wh: Warehouse,
     *,
@@ -98,6 +113,7 @@ def run_pipeline(
     """One run: take in new files, load the domains parents first (those that do
     not depend on each other together), refresh facts and, if asked to, the
     dimensions."""
+    housekeep(wh)
     if ingest:
         ingest_available(wh)
     loads: list[LoadReport] = []
