@@ -47,10 +47,10 @@ def _text(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
 
-def _person(key: str) -> Column:
+def _person(key: Column) -> Column:
     """A patient's id; some have more digits than fit 64 bits."""
     wide = F.concat(F.lit("9"), F.lpad(_text(key), 19, "0"))
-    return F.when(F.col(key) % 50 == 7, wide).otherwise(_text(key))
+    return F.when(key % 50 == 7, wide).otherwise(_text(key))
 
 
 def _time_text(time: Column) -> Column:
@@ -66,7 +66,7 @@ def raw_patients(spark: SparkSession, sf_dir: str, second: bool = False) -> Data
     key, nation = _text("c_custkey"), F.col("c_nationkey")
     born = F.date_add(F.lit("1950-01-01").cast("date"), F.floor("c_acctbal").cast("int") + 1000)
     return table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_acctbal") < -500, F.concat(F.lit("X"), key)).otherwise(_person("c_custkey")).alias("patient_id"),
+        F.when(F.col("c_acctbal") < -500, F.concat(F.lit("X"), key)).otherwise(_person(F.col("c_custkey"))).alias("patient_id"),
         F.col("c_name").alias("name"),
         F.when(nation == 7, "1990-02-30").otherwise(_text(born)).alias("dob"),
         F.when(F.col("c_acctbal") < 5000, "F").otherwise("M").alias("gender"),
@@ -105,7 +105,8 @@ def raw_doctors(spark: SparkSession, sf_dir: str, second: bool = False) -> DataF
     )
 
 
-def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_admissions(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
+    """First delivery, or a second one of some departments: other patients, other status."""
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -118,7 +119,7 @@ def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((flag == "R") & (discount == 0.1), F.concat(F.lit("A"), key)).otherwise(key).alias("admission_id"),
         F.when((discount == 0.03) & (F.col("l_linestatus") == "F"), F.lit(None))
         .when((discount == 0.01) & (tax == 0.07), "unknown")
-        .otherwise(_person("o_custkey"))
+        .otherwise(_person(F.col("o_custkey") + 1 if second else F.col("o_custkey")))
         .alias("patient_id"),
         _time_text(arrival).alias("admission_time"),
         F.when((tax == 0.08) & (discount == 0.05), "").otherwise(_time_text(leave)).alias("discharge_time"),
@@ -127,12 +128,13 @@ def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((tax == 0.0) & (quantity == 1), "none").otherwise(_text(quantity)).alias("bed_no"),
         _text("l_suppkey").alias("attending_doctor_id"),
         F.when(flag == "A", "OPD").when(flag == "N", "IPD").otherwise("ER").alias("admission_type"),
-        F.col("o_orderstatus").alias("status"),
+        F.lit("MOVED").alias("status") if second else F.col("o_orderstatus").alias("status"),
         (F.col("l_shipdate") + F.make_dt_interval(secs=quantity)).alias("load_time"),
-    )
+    ).where("department = 'A'" if second else "true")
 
 
-def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_procedures(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
+    """First delivery, or a second one of some kinds with another status."""
     kind, value, ts = F.col("event_type"), F.col("value"), F.col("ts")
     key = _text("event_id")
     start = ts + F.make_dt_interval(secs=F.floor(value * 2))
@@ -153,19 +155,20 @@ def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
         _time_text(end).alias("end_time"),
         F.concat(F.lit("OR-"), _text("user_id")).alias("operating_room"),
         F.col("props").alias("anaesthesia_type"),
-        F.lit("DONE").alias("status"),
+        F.lit("REDONE" if second else "DONE").alias("status"),
         ts.alias("load_time"),
-    )
+    ).where("procedure_name IN ('error', 'view')" if second else "true")
 
 
-def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_billing(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
+    """First delivery, or a second one of the flagged bills with another mode of payment."""
     price, key = F.col("o_totalprice"), _text("o_orderkey")
     amount = _text(price.cast("decimal(12,2)"))
     urgency = F.substring("o_orderpriority", 1, 1)
     return table(spark, sf_dir, "orders").select(
         F.when((urgency == "5") & (price > 450000), F.concat(F.lit("B"), key)).otherwise(key).alias("bill_id"),
         _text(F.col("o_orderkey") * 10 + urgency.cast("bigint")).alias("admission_id"),
-        _person("o_custkey").alias("patient_id"),
+        _person(F.col("o_custkey")).alias("patient_id"),
         F.when(price < 5000, "n/a")
         .when((F.col("o_orderstatus") == "P") & (price > 400000), F.concat(F.lit("-"), amount))
         .otherwise(amount)
@@ -173,10 +176,10 @@ def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.floor(price)).alias("insurance_amount"),
         F.when(urgency == "1", "tbd").otherwise("100").alias("out_of_pocket_amount"),
         _time_text(F.col("o_orderdate")).alias("billing_time"),
-        F.col("o_orderpriority").alias("payment_mode"),
+        F.lit("AGAIN").alias("payment_mode") if second else F.col("o_orderpriority").alias("payment_mode"),
         F.when(price > 300000, "TRUE").otherwise("FALSE").alias("is_flagged"),
         F.col("o_orderdate").alias("load_time"),
-    )
+    ).where("is_flagged = 'TRUE'" if second else "true")
 
 
 RAW = {

@@ -280,12 +280,47 @@ def _sql(select: str, bodies: dict[str, str] = _CTES) -> str:
     return f"WITH {chain}\n{select}"
 
 
+def _second_delivery(bodies: dict[str, str]) -> dict[str, str]:
+    """What the second run adds: admissions of other patients, procedures and bills once more."""
+    moved = bodies["raw_admissions"].replace("o_custkey", "(o_custkey + 1)")
+    more = {
+        "raw_admissions2": f"SELECT * REPLACE ('MOVED' AS status) FROM ({moved}) WHERE department = 'A'",
+        "raw_procedures2": "SELECT * REPLACE ('REDONE' AS status) FROM raw_procedures WHERE procedure_name IN ('error', 'view')",
+        "raw_billing2": "SELECT * REPLACE ('AGAIN' AS payment_mode) FROM raw_billing WHERE is_flagged = 'TRUE'",
+    }
+    for name in ("admissions", "procedures", "billing"):
+        key, both = _KEYS[name], f"final_{name}"
+        seen = {where: sql[name].replace("silver_admissions", "final_admissions") for where, sql in (("fails", _LEVEL_TWO_FAILS), ("passes", _LEVEL_TWO_PASSES))}
+        log = bodies[f"data_errors_{name}"].replace(f"FROM raw_{name} ", f"FROM raw_{name}2 ")
+        more[f"data_errors_{name}2"] = log
+        more[f"valid_{name}2"] = f"SELECT * FROM raw_{name}2 WHERE {_LEVEL_ONE[name]}"
+        more[f"business_errors_{name}2"] = bodies[f"business_errors_{name}"].replace(f"FROM valid_{name} ", f"FROM valid_{name}2 ").replace(
+            _LEVEL_TWO_FAILS[name], seen["fails"]
+        )
+        more[f"silver_{name}2"] = _latest(name, f"SELECT {_TYPED[name]} FROM valid_{name}2 WHERE {seen['passes']}")
+        kept = f"SELECT * FROM silver_{name}"
+        if name == "admissions":
+            kept = (
+                f"SELECT t.* REPLACE (CASE WHEN s.{key} IS NULL THEN t.patient_id ELSE s.patient_id END AS patient_id) "
+                f"FROM silver_{name} t LEFT JOIN silver_{name}2 s ON s.{key} = t.{key}"
+            )
+        more[both] = f"{kept} UNION ALL SELECT * FROM silver_{name}2 WHERE {key} NOT IN (SELECT {key} FROM silver_{name})"
+    return more
+
+
 def _delivered(select: str) -> str:
-    """As ``_sql``, with all admissions arriving together, as in the pipeline run."""
+    """As ``_sql``, as in the pipeline run: admissions arrive in two parts, ward F first, and all
+    domains twice. The facts are those after the second delivery."""
     bodies: dict[str, str] = {}
     for name, body in _CTES.items():
         if name == "raw_admissions":
-            body = f"SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' AS load_time) FROM ({body})"
+            arrival = "CASE WHEN ward = 'F' THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-01-02 00:00:00' END"
+            body = f"SELECT * REPLACE ({arrival} AS load_time) FROM ({body})"
+        if name == "fact_admissions":
+            # All rows of the second delivery arrive together.
+            bodies |= _second_delivery(bodies | {"raw_admissions": _CTES["raw_admissions"].replace("l_shipdate + to_seconds(CAST(l_quantity AS INT)) AS load_time", "TIMESTAMP '2024-01-03 00:00:00' AS load_time")})
+        if name.startswith("fact_"):
+            body = body.replace("FROM silver_", "FROM final_")
         bodies[name] = body
     return _sql(select, bodies)
 
@@ -346,8 +381,10 @@ def _pipeline_sql() -> dict[str, str]:
         for name in _KEYS
     )
     logs = " UNION ALL ".join(_log(name) for name in _KEYS)
-    # The second delivery fails the same rules once more and is logged again.
-    logs += f" UNION ALL {_log('patients')} UNION ALL {_log('doctors')}"
+    # The second delivery fails rules too, and that of doctors is loaded once more after the reset.
+    logs += f" UNION ALL {_log('patients')}" + f" UNION ALL {_log('doctors')}" * 3
+    for name in ("admissions", "procedures", "billing"):
+        logs += f" UNION ALL SELECT * FROM data_errors_{name}2 UNION ALL SELECT * FROM business_errors_{name}2"
     patients = "patient_id, " + ", ".join(_COLUMNS["patients"].split())
     doctors = "doctor_id, " + ", ".join(_COLUMNS["doctors"].split())
 
@@ -359,7 +396,26 @@ def _pipeline_sql() -> dict[str, str]:
         )
 
     admission = "admission_id, " + ", ".join(_COLUMNS["admissions"].split())
+    first = {name: f"SELECT count(*) FROM raw_{name}" for name in _KEYS}
+    second = {name: f"SELECT count(*) FROM raw_{name}2" for name in _KEYS}
+
+    def steps(*told: tuple[str, str, str]) -> str:
+        return " UNION ALL ".join(f"SELECT '{name}' AS source_table, '{step}' AS step, ({n}) AS n" for name, step, n in told)
+
+    waiting = [(name, step, n) for name in _KEYS for step, n in (("first delivery", first[name]), ("first run", "0"), ("second delivery", second[name]))]
+    arrived = [(name, "1", first[name]) for name in _KEYS if name != "admissions"] + [(name, "2", second[name]) for name in _KEYS if name != "admissions"]
+    parts = [f"{first['admissions']} WHERE ward = 'F'", f"{first['admissions']} WHERE ward <> 'F'", second["admissions"]]
+    arrived += [("admissions", str(k), n) for k, n in enumerate(parts, 1)]
+    twice = "SELECT 2 * count(*) FROM raw_doctors"
+    anew = [(f"{k} {step}", n) for k, (step, n) in enumerate((("before", twice), ("emptied", "0"), ("taken in", twice), ("loaded", twice), ("in silver", "SELECT count(*) FROM silver_doctors")), 1)]
+    said = " || ' | ' || ".join(f"'{name.capitalize()}: {loaded[name]}'" for name in _KEYS)
+    none = " || ' | ' || ".join(f"'{name.capitalize()}: " + (loaded[name] if name == "patients" else f"No data in {name} stream") + "'" for name in _KEYS)
     return {
+        "pipeline_pending": _delivered(steps(*waiting)),
+        "pipeline_arrivals": _delivered(steps(*arrived)),
+        "pipeline_files": _delivered(" UNION ALL ".join(f"SELECT '{name}' AS source_table, ({first[name]}) + ({second[name]}) AS n" for name in _KEYS)),
+        "pipeline_reset": _delivered(steps(*[("doctors", step, n) for step, n in anew])),
+        "pipeline_ticks": f"SELECT 1 AS run, {said} AS status UNION ALL SELECT 2, {said} UNION ALL SELECT 3, {none}",
         "csv_scan": _sql("SELECT * EXCLUDE (load_time) FROM raw_patients"),
         "pipeline_status": _delivered(counts),
         "pipeline_exceptions": _delivered(f"SELECT * EXCLUDE (load_time) FROM ({logs})"),
@@ -370,8 +426,8 @@ def _pipeline_sql() -> dict[str, str]:
             f"SELECT source_table, error_type, count(*) AS failures FROM ({logs}) GROUP BY source_table, error_type"
         ),
         "pipeline_silver_doctors": _delivered(f"SELECT {doctors} FROM silver_doctors2"),
-        "pipeline_silver_procedures": _delivered("SELECT * EXCLUDE (load_time) FROM silver_procedures"),
-        "pipeline_silver_billing": _delivered("SELECT * EXCLUDE (load_time) FROM silver_billing"),
+        "pipeline_silver_procedures": _delivered("SELECT * EXCLUDE (load_time) FROM final_procedures"),
+        "pipeline_silver_billing": _delivered("SELECT * EXCLUDE (load_time) FROM final_billing"),
         "pipeline_fact_admissions": _delivered("SELECT * FROM fact_admissions"),
         "pipeline_fact_procedures": _delivered("SELECT * FROM fact_procedures"),
         "pipeline_masked_patients": _delivered(
@@ -379,7 +435,7 @@ def _pipeline_sql() -> dict[str, str]:
             f"'****MASKED****' AS insurance_id) FROM (SELECT {patients} FROM silver_patients2)"
         ),
         "pipeline_silver_patients": _delivered(f"SELECT {patients} FROM silver_patients2"),
-        "pipeline_silver_admissions": _delivered(f"SELECT {admission} FROM silver_admissions"),
+        "pipeline_silver_admissions": _delivered(f"SELECT {admission} FROM final_admissions"),
         "pipeline_dim_patient": _delivered(versions(patients, "patients", "patients2")),
         "pipeline_dim_doctor": _delivered(versions(doctors, "doctors", "doctors2")),
         "pipeline_fact_billing": _delivered("SELECT * FROM fact_billing"),

@@ -195,8 +195,9 @@ def rule_nonneg_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def exception_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = [derive.data_errors(spark, sf_dir, name) for name in DOMAINS]
-    logs += [derive.business_errors(spark, sf_dir, d.name) for d in DOMAINS.values() if d.has_business_rules]
+    """Every domain is judged once, for both levels."""
+    judged = {name: rules.with_verdict(derive.judged(spark, sf_dir, name)) for name in DOMAINS}
+    logs = [rules.staged_exceptions(rows, DOMAINS[name], derive._stamp(derive.LOG_TIME)) for name, rows in judged.items()]
     return audit.failure_summary(reduce(DataFrame.unionAll, logs))
 
 
@@ -458,108 +459,145 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status line and outcome counts per domain of the first run."""
-    _, report = completed_run(spark, sf_dir)
+    _, report, _ = completed_run(spark, sf_dir)
     rows = [(load.domain, load.status, verdict, n) for load in report.loads for verdict, n in load.counts.items()]
     return spark.createDataFrame(rows, "source_table string, status string, verdict string, n bigint")
 
 
 @_query
 def pipeline_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.exceptions().drop("load_time")
 
 
 @_query
 def pipeline_landing_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of both deliveries exactly as received."""
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.raw("patients").drop("load_time")
 
 
 @_query
 def pipeline_exception_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return audit.failure_summary(wh.exceptions())
 
 
 @_query
 def pipeline_silver_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.silver("doctors").drop("load_time")
 
 
 @_query
 def pipeline_silver_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.silver("procedures").drop("load_time")
 
 
 @_query
 def pipeline_silver_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.silver("billing").drop("load_time")
 
 
 @_query
 def pipeline_fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("fact_admissions")
 
 
 @_query
 def pipeline_fact_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("fact_procedures")
 
 
 @_query
 def pipeline_masked_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("silver_patients", role="ANALYST").drop("load_time")
 
 
 @_query
 def pipeline_silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.silver("patients").drop("load_time")
 
 
 @_query
 def pipeline_silver_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.silver("admissions").drop("load_time")
 
 
 @_query
 def pipeline_dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("dim_patient")
 
 
 @_query
 def pipeline_dim_doctor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("dim_doctor")
 
 
 @_query
 def pipeline_fact_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return wh.read_table("fact_billing")
 
 
 @_query
 def pipeline_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     return _rounded(wh.read_table("kpi_doctor_workload"), "doctor_workload_index")
 
 
 @_query
 def pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four single-value indicators, one row each."""
-    wh, _ = completed_run(spark, sf_dir)
+    wh, _, _ = completed_run(spark, sf_dir)
     scores = [
         wh.read_table(view).toDF("score").select(F.lit(view).alias("view"), F.round("score", 6).alias("score"))
         for view in ("bed_occ", "att", "surgey_efficiny", "kpi_data_quality")
     ]
     return reduce(DataFrame.unionAll, scores)
+
+
+def _journal(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
+    _, _, journal = completed_run(spark, sf_dir)
+    rows = [row[1:] for row in journal.rows if row[0] == measure]
+    return spark.createDataFrame(rows, "source_table string, step string, n bigint")
+
+
+@_query
+def pipeline_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows waiting to be loaded after each delivery, and none after a run."""
+    return _journal(spark, sf_dir, "pending")
+
+
+@_query
+def pipeline_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery has one time of arrival, shared by all its rows."""
+    return _journal(spark, sf_dir, "arrived")
+
+
+@_query
+def pipeline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that came from files the inventory of the drop folder lists: all."""
+    return _journal(spark, sf_dir, "rows of listed files").drop("step")
+
+
+@_query
+def pipeline_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An emptied landing table takes all files in again; loading them anew adds nothing."""
+    return _journal(spark, sf_dir, "reset")
+
+
+@_query
+def pipeline_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined status of the first run and of the schedule's two ticks, the second without new rows."""
+    _, _, journal = completed_run(spark, sf_dir)
+    return spark.createDataFrame(list(enumerate(journal.statuses, 1)), "run bigint, status string")

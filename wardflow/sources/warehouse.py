@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.domains import DOMAINS, SPARK_TYPES, Domain
@@ -90,21 +91,16 @@ class Warehouse:
 
     def pending(self, name: str) -> DataFrame:
         """Landing rows no load has consumed yet. Looking does not consume them.
-
-        Loads consume whole files, so the names of the files decide, and only
-        those still waiting are read.
-        """
+        Loads consume whole files, so the names of the files decide."""
         landing = self.landing(name)
         columns = [*DOMAINS[name].column_names, "load_time"]
         if not self.has_landed(name) or not folders.exists(self.spark, self._consumed_path(name)):
             return landing.select(*columns)
-        seen = self.spark.read.schema("landed_file string").parquet(self._consumed_path(name))
-        # Every landed file has a unique name; the two listings differ in how they spell its folder.
-        done = {r.landed_file.rsplit("/", 1)[-1] for r in seen.toLocalIterator()}
-        waiting = [f for f in landing.inputFiles() if f.rsplit("/", 1)[-1] not in done]
-        if not waiting:
-            return landing.select(*columns).limit(0)
-        return self.spark.read.schema(landing.schema).parquet(*sorted(waiting)).select(*columns)
+        seen = self.spark.read.schema("landed_file string").parquet(self._consumed_path(name)).distinct()
+        # Every landed file has a unique name, however the two listings spell its folder.
+        rows = landing.withColumn("_landed", F.col("_metadata.file_name"))
+        done = F.substring_index("landed_file", "/", -1)
+        return rows.join(seen, F.col("_landed") == done, "left_anti").select(*columns)
 
     # ---- silver --------------------------------------------------------
 

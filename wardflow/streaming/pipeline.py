@@ -126,29 +126,44 @@ def run_pipeline(
     return report
 
 
-def start_schedule(wh: Warehouse, every: str = "5 minutes", *, max_failures: int = 10, **options) -> StreamingQuery:
+def start_schedule(
+    wh: Warehouse,
+    every: str | None = "5 minutes",
+    *,
+    max_failures: int = 10,
+    ticks: DataFrame | None = None,
+    on_run: Callable[[RunReport], None] | None = None,
+    **options,
+) -> StreamingQuery:
     """Run the pipeline periodically, on the trigger of one streaming query whose
     source merely ticks; runs never overlap. Stop it with ``query.stop()``. A run
     that fails is logged and the next one resumes its loads; ``max_failures`` in a
-    row end the schedule with the last error."""
+    row end the schedule with the last error. ``on_run`` gets the report of every
+    run. With ``every=None`` the schedule takes the ``ticks`` that are there, one
+    run a batch of that stream, and ends."""
     failures = 0
 
     def tick(batch: DataFrame, batch_id: int) -> None:
         nonlocal failures
         try:
-            run_pipeline(wh, **options)
+            report = run_pipeline(wh, **options)
             failures = 0
         except Exception:
             failures += 1
             log.exception("run failed, %d in a row", failures)
             if failures >= max_failures:
                 raise
+            return
+        if on_run is not None:
+            on_run(report)
 
-    ticks = wh.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    if ticks is None:
+        ticks = wh.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         ticks.writeStream.foreachBatch(tick)
         .queryName("pipeline_schedule")
         .option("checkpointLocation", f"{wh.root}/_checkpoints/schedule")
-        .trigger(processingTime=every)
+        .trigger(**trigger)
         .start()
     )
