@@ -216,6 +216,56 @@ def test_csv_details(spark, tmp_path):
     assert rows["3"].status == "h" and rows["3"]._corrupt_record is not None
 
 
+def test_records_may_span_lines_and_empty_text_is_not_missing(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    folder = tmp_path / "drops" / "doctors"
+    folder.mkdir(parents=True)
+    (folder / "d.csv").write_text(
+        "doctor_id,name,specialization,join_date,phone,email,qualification,department,status\n"
+        '1,"Ann\nof two lines","a ""b""\n\nc",2015-01-01,,ann@h.org,MD,D,ok\n'
+        '2,Bob,x,2015-01-01,,"",MD,D,ok\n'
+        "3,Cy,x,2015-01-01,,,MD,D,ok\n"
+    )
+    run_pipeline(wh)
+    rows = {r.doctor_id: r for r in wh.raw("doctors").collect()}
+    assert rows["1"].name == "Ann\nof two lines" and rows["1"].specialization == 'a "b"\n\nc' and rows["1"].phone is None
+    assert rows["2"].email == "" and rows["3"].email is None and wh.malformed("doctors").isEmpty()
+    # An empty address is no address and is logged; whether a missing one is cannot be decided.
+    assert [r.record_id for r in wh.exceptions().collect()] == ["2"] and ids(wh, "doctors") == [1]
+
+
+def test_keys_beyond_64_bits(spark, tmp_path):
+    wide, wider = 10**19 + 7, 10**37 + 9
+    wh = Warehouse(spark, str(tmp_path))
+    patient = {**MASTER["patients"][0], "patient_id": str(wide)}
+    stay = {**MASTER["admissions"][0], "admission_id": str(wider), "patient_id": str(wide), "bed_no": str(wide)}
+    deliver(tmp_path, {"patients": [patient], "doctors": MASTER["doctors"], "admissions": [stay]}, "a")
+    run_pipeline(wh, dims=True, as_of=DAY1)
+    deliver(tmp_path, {"patients": [{**patient, "city": "Elsewhere"}], "admissions": [stay]}, "b")
+    run_pipeline(wh, dims=True, as_of=DAY2)
+    assert ids(wh, "patients") == [wide] and ids(wh, "admissions") == [wider]
+    assert wh.silver("patients").first().city == "Elsewhere"
+    fact = wh.fact("admissions").collect()
+    assert [(r.admission_id, r.patient_id, r.bed_no) for r in fact] == [(wider, wide, wide)]
+    assert sorted(r.current_flag for r in wh.dim("dim_patient").collect()) == ["N", "Y"]
+
+
+def test_many_runs_leave_a_bounded_number_of_segments(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SegmentedTable.fold, "__defaults__", (0.2, 3))
+    wh = Warehouse(spark, str(tmp_path))
+    for k in range(8):
+        rows = [{**MASTER["doctors"][0], "department": f"D{k}"}, {**MASTER["doctors"][1], "doctor_id": str(100 + k)}, MASTER["doctors"][2]]
+        deliver(tmp_path, {"doctors": rows}, f"day{k}")
+        run_pipeline(wh, dims=True, as_of=DAY1 + dt.timedelta(days=k))
+    tables = [wh.silver_table("doctors"), wh.dim_history("dim_doctor"), wh.dim_current("dim_doctor")]
+    assert all(len(t.live()) <= 5 and len(t.committed()) <= 9 for t in tables)
+    assert wh.exceptions().count() == 8
+    assert ids(wh, "doctors") == [10, *range(100, 108)] and wh.silver("doctors").where("doctor_id = 10").first().department == "D7"
+    # Every refresh closed and reopened each doctor known by then.
+    dim = wh.dim("dim_doctor")
+    assert dim.where("current_flag = 'Y'").count() == 9 and dim.count() == sum(k + 2 for k in range(8))
+
+
 def test_shuffled_lookups_give_the_same_tables(spark, tmp_path):
     """A batch too large to broadcast its keys takes the shuffle joins."""
     wh = Warehouse(spark, str(tmp_path))
@@ -247,6 +297,16 @@ def test_schedule_runs_the_pipeline(spark, tmp_path):
     assert ids(wh, "doctors") == [10, 11]
 
 
+def test_schedule_with_ticks_by_hand(spark, tmp_path):
+    wh, told = Warehouse(spark, str(tmp_path / "root")), []
+    deliver(tmp_path / "root", {"doctors": MASTER["doctors"]}, "master")
+    for tick in range(2):
+        spark.range(tick, tick + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "clock"))
+    ticks = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "clock"))
+    start_schedule(wh, every=None, ticks=ticks, on_run=told.append).awaitTermination()
+    assert [report.loads[1].status for report in told] == ["Doctors loaded", "No data in doctors stream"]
+
+
 def test_schedule_goes_on_after_a_failing_run(spark, tmp_path, monkeypatch):
     wh, runs = Warehouse(spark, str(tmp_path)), []
 
