@@ -76,17 +76,17 @@ def differing(x: Column, y: Column) -> Column:
 
 
 def follow(docs: DataFrame) -> DataFrame:
-    """For every distinct document (``_id``, ``_h``; ``_n`` code points): the next one in
-    descending order (``to``: struct), after the last the first. Only keys are sorted, by
+    """For every distinct document (``_id``, ``_h``; ``_n`` code points, ``_copies`` rows): the
+    next one in descending order (``to``: struct), after the last the first. Only keys are sorted, by
     range; a window works within a range and the ranges' first rows link them."""
-    keys = docs.select("_id", "_h", F.length("text").alias("_n")).distinct()
+    keys = docs.select("_id", "_h", F.length("text").alias("_n")).groupBy("_id", "_h", "_n").agg(F.count(F.lit(1)).alias("_copies"))
     ranges = stage(keys.repartitionByRange(F.desc("_id"), F.desc("_h")).withColumn("_part", F.spark_partition_id()), "key_ranges")
     row = F.struct("_id", "_h", "_n")
     firsts = ranges.groupBy("_part").agg(F.max(row).alias("first"))
     every = Window.orderBy("_part")  # one row a range
     firsts = firsts.select("_part", F.coalesce(F.lead("first").over(every), F.first("first").over(every)).alias("onward"))
     inside = ranges.withColumn("next", F.lead(row).over(Window.partitionBy("_part").orderBy(F.desc("_id"), F.desc("_h"))))
-    return inside.join(firsts, "_part").select("_id", "_h", "_n", F.coalesce("next", "onward").alias("to"))
+    return inside.join(firsts, "_part").select("_id", "_h", "_n", "_copies", F.coalesce("next", "onward").alias("to"))
 
 
 def edit_check(docs: DataFrame) -> DataFrame:
@@ -94,21 +94,23 @@ def edit_check(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("_id"), F.xxhash64("doc_id", text).alias("_h"))
     order = stage(follow(docs), "document_order")
-    each = docs.groupBy("_id", "_h").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("_copies"))
-    incoming = order.select(F.col("to._id").alias("_id"), F.col("to._h").alias("_h"), F.col("_id").alias("_to_id"), F.col("_h").alias("_to_h"), F.col("_n").alias("_to_n"))
+    # Both joins use the same columns of the documents, so their texts are shuffled once.
+    each = docs.groupBy("_id", "_h").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    incoming = order.select(F.col("to._id").alias("_id"), F.col("to._h").alias("_h"), F.col("_id").alias("_to_id"), F.col("_h").alias("_to_h"), F.col("_n").alias("_to_n"), "_copies")
     sent = each.join(incoming, ["_id", "_h"]).select(
+        F.col("doc_id").alias("next_doc_id"), "_copies",
         F.col("_to_id").alias("_id"), F.col("_to_h").alias("_h"), F.left("text", F.floor(F.col("_to_n") / 2).cast("int")).alias("_head"), fingerprint(F.col("text")).alias("_next")
     )
     n = F.length("text")
     joined = each.join(sent, ["_id", "_h"]).select(
-        "doc_id", "_copies", "_next", n.cast("long").alias("n_chars"), "text", F.concat(F.left("text", n - F.floor(n / 2).cast("int")), "_head").alias("_edited")
+        "doc_id", "next_doc_id", "_copies", "_next", n.cast("long").alias("n_chars"), "text", F.concat(F.left("text", n - F.floor(n / 2).cast("int")), "_head").alias("_edited")
     )
     printed = joined.select(
-        "doc_id", "_copies", "_next", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
+        "doc_id", "next_doc_id", "_copies", "_next", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("_edited")).alias("edited_fingerprint"),
     )
     compared = printed.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"), F.size(edited_paragraphs(F.col("fingerprint"), F.col("edited_fingerprint"))).alias("n_edited_paragraphs"), "_copies",
+        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"), F.size(edited_paragraphs(F.col("fingerprint"), F.col("edited_fingerprint"))).alias("n_edited_paragraphs"), "next_doc_id", "_copies",
     )
     return compared.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).drop("_copies", "_copy")
