@@ -16,6 +16,9 @@ repeated runs, short lines between long ones too. DataFrame functions only; inte
 counted before they are joined, and ranks come from two-level totals, so a line that
 stands in a third of all documents is not one task's work.
 
+Only documents that may lose a line are joined with what they lose: a bitmap of ``BITS``
+hashed keys tells the others apart in the scan, and their texts are never shuffled.
+
 Defined results: NULL text stays NULL, the empty text empty. Rows alike in doc_id and text
 stand as one document. A NULL doc_id comes first. Lines are compared by 64-bit hashes.
 ``n_lines`` and ``n_removed`` replace input columns of those names.
@@ -30,6 +33,7 @@ from wardflow.llm.common import let, running_total, stage, without, words
 
 MIN_WORDS = 50
 CELLS = 1024
+BITS = 1 << 24  # 2 MB, whatever the number of documents; beyond some millions, more texts are joined
 DOC = ["_doc", "_hash"]
 
 
@@ -108,14 +112,28 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     return covered.groupBy(*DOC).agg(F.collect_set("pos").alias("_removed"))
 
 
+def bitmap(keys: DataFrame) -> Column:
+    """The places of keys as one array of 64-bit words: a subquery of one value."""
+    place = F.pmod(F.xxhash64(*DOC), F.lit(BITS))
+    words_ = keys.groupBy(F.floor(place / 64).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
+    every = keys.sparkSession.range(0, BITS // 64, 1, 1).join(words_, "id", "left")
+    dense = every.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("words"))
+    return stage(dense.select(F.col("words.bits").alias("words")), "bitmap").scalar()
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies taken out of ``text``, plus ``n_lines`` and ``n_removed``."""
     docs = without(docs, "n_lines", "n_removed")
     keys = [F.coalesce("doc_id", F.lit(-(2**63))).alias("_doc"), F.xxhash64("doc_id", "text").alias("_hash")]
-    plain = docs.where("text IS NOT NULL").select(*keys, "text")
-    removed = stage(repeated_lines(plain, min_words), "removed")
-    lines = F.split("text", "\n")
-    full = docs.select("*", *keys).alias("d").join(removed.alias("r"), (F.col("d._doc") == F.col("r._doc")) & (F.col("d._hash") == F.col("r._hash")), "left")
+    removed = stage(repeated_lines(docs.where("text IS NOT NULL").select(*keys, "text"), min_words), "removed")
+    place = F.pmod(F.xxhash64(*DOC), F.lit(BITS))
+    hit = F.getbit(F.get(bitmap(removed), F.floor(place / 64).cast("int")), (place % 64).cast("int")) == 1
+    # All given columns are one, so none clashes with the keys.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys).withColumn("_hit", hit)
+    losing = rows.where("_hit").drop("_hit").join(removed, DOC, "left")
+    whole = rows.where("NOT _hit").drop("_hit").withColumn("_removed", F.lit(None).cast("array<int>"))
+    text = F.col("row")["text"]
+    lines = F.split(text, "\n")
 
     def kept(x: Column) -> Column:
         every = F.sequence(F.lit(0), F.size(x) - 1)
@@ -123,6 +141,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         gone = let(spoken, lambda s: F.transform(F.col("_removed"), lambda p: F.get(s, p)))
         return F.array_join(F.transform(F.array_except(every, gone), lambda i: F.get(x, i)), "\n")
 
-    columns = [F.when(F.col("_removed").isNull(), F.col("text")).otherwise(let(lines, kept)).alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
-    return full.select(*columns, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"))
+    def finished(part: DataFrame, texts: Column) -> DataFrame:
+        columns = [texts.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+        return part.select(*columns, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"))
 
+    mended = F.when(F.col("_removed").isNull(), text).otherwise(let(lines, kept))
+    return finished(losing, mended).unionByName(finished(whole, text))
