@@ -8,7 +8,8 @@ has gone to the siblings of an ancestor, because subtrees are filled top down.
 
 A leaf then takes the token prefix of its seeded epochs: every epoch orders the leaf's
 documents anew by a seeded hash; whole epochs first, then documents of the next one
-while their tokens fit in what is left. Running totals are kept in two levels, so a leaf
+while their tokens fit in what is left. The document that crosses the end is taken if at
+least half of it fits, so a leaf is within half a document of its budget. Running totals are kept in two levels, so a leaf
 with a third of all documents is not one task's work. DataFrame functions only.
 
 Defined results: NULL keys are groups of their own; a key without a weight has weight
@@ -53,7 +54,8 @@ def budgets(supply: DataFrame, weights: Mapping[str, Mapping[str, float]], budge
     """Leaves (domain, language, origin, tokens) plus ``granted`` tokens. ``weights`` maps a
     level's name to weights by key; they hold wherever the key stands in the tree."""
     leaves = supply.withColumn("supply", F.col("tokens").cast("double") * max_epochs)
-    granted = leaves.agg(F.least(F.sum("supply"), budget.cast("double")).alias("budget"))
+    whole = leaves.agg(F.least(F.sum("supply"), budget.cast("double"))).first()[0] or 0.0
+    granted = None
     for depth in range(1, len(LEVELS) + 1):
         keys = list(LEVELS[:depth])
         nodes = leaves.groupBy(*keys).agg(F.sum("supply").alias("supply"))
@@ -63,7 +65,7 @@ def budgets(supply: DataFrame, weights: Mapping[str, Mapping[str, float]], budge
             weight = F.when(F.col(keys[-1]) == key, F.lit(float(value))).otherwise(weight)
         nodes = nodes.withColumn("weight", F.coalesce(weight, F.lit(float(default_weight))))
         if depth == 1:
-            nodes = nodes.crossJoin(F.broadcast(granted))  # one row
+            nodes = nodes.withColumn("budget", F.lit(float(whole)))
         else:
             up = keys[:-1]
             on = [F.col(f"n.{k}").eqNullSafe(F.col(f"p.{k}")) for k in up]
@@ -97,7 +99,7 @@ def mix(
     joined = joined.withColumn("_order", seeded(seed, F.col("whole"), F.col("doc_id")))
     cell = F.floor((F.col("_order") / F.lit(2.0**63) + 1) * (PREFIX_CELLS / 2))
     placed = running_total(joined, list(LEVELS), ["_order", "doc_id", "tokens"], cell, "tokens", "_before")
-    taken = F.col("_before") + F.col("tokens") <= F.col("rest")
+    taken = 2 * F.col("_before") + F.col("tokens") <= 2 * F.col("rest")
     # Texts without tokens fit in any rest, so they too stop at the last epoch.
     copies = F.least(F.col("whole") + F.when(taken, 1).otherwise(0), F.lit(max_epochs)).cast("long")
     return placed.withColumn("copies", copies).where("copies > 0").select("doc_id", *LEVELS, "tokens", "copies")
@@ -106,6 +108,9 @@ def mix(
 def mixed_rows(docs: DataFrame, domain: Column, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``mix`` chose, once each whatever their ``copies``."""
     tree = dict(zip(LEVELS, (domain, F.col("lang"), F.col("source")), strict=True))
-    keyed = docs.select("*", *[c.cast("string").alias(f"_{k}") for k, c in tree.items()])
-    on = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), *[F.col(f"d._{k}").eqNullSafe(F.col(f"c.{k}")) for k in LEVELS]]
-    return keyed.alias("d").join(chosen.alias("c"), on, "left_semi").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    # All given columns are one, so none clashes with the tree's.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, *[c.cast("string").alias(k) for k, c in tree.items()])
+    on = [F.col("d.row.doc_id").eqNullSafe(F.col("c.doc_id")), *[F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in LEVELS]]
+    chosen_rows = keyed.alias("d").join(chosen.alias("c"), on, "left_semi")
+    return chosen_rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
