@@ -210,16 +210,19 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
     probability of that language among those learned, all equally likely beforehand."""
     docs = without(docs, "lang_pred", "score")
     keep = docs.columns if keep is None else keep
-    docs = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
+    needed = list(dict.fromkeys([*keep, "text"]))
+    # Columns travel by number: given names may hold anything, dots too.
+    docs = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(needed)])
+    numbered, text = [f"c{needed.index(c)}" for c in keep], f"c{needed.index('text')}"
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in numbered)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         pieces, n_lang = pieces_of(model.vocabulary), len(model.languages)
         for whole in batches:
-            for batch in blocks(whole, "text"):
-                codes, distinct, n = coded_words(batch.column("text"), lower=False)
+            for batch in blocks(whole, text):
+                codes, distinct, n = coded_words(batch.column(text), lower=False)
                 owner = np.repeat(np.arange(len(n)), n)
                 letter = pc.match_substring_regex(distinct, r"\p{L}").to_numpy(zero_copy_only=False).astype(bool)
                 spelled = np.bincount(owner, weights=letter[codes], minlength=len(n)) > 0 if len(codes) else np.zeros(len(n), bool)
@@ -230,10 +233,10 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                 share = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
                 known = spelled & (n_lang > 0)
                 lang = [model.languages[b] if ok else "und" for b, ok in zip(best, known, strict=True)]
-                columns = [batch.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(np.where(known, share, 0.0))], names=[*keep, "lang_pred", "score"])
+                columns = [batch.column(c) for c in numbered]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(np.where(known, share, 0.0))], names=[*numbered, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double").toDF(*keep, "lang_pred", "score")
 
 
 def held_out(doc_id):
