@@ -266,3 +266,23 @@ def test_empty_tables(nothing, spark):
     assert merkle.edit_check(nothing).count() == 0
     assert reply_trees.conversations(spark.createDataFrame([], "tree_id int, node_id int, parent_id int, score double, role string, text string")).count() == 0
     assert revisits.resolve(spark.createDataFrame([], "record_id int, url string, time int, kind string, headers map<string,string>")).count() == 0
+
+
+def test_clashing_and_dotted_columns_are_kept(spark):
+    names = ["_doc", "_hash", "_removed", "_hit", "row", "_domain", "_language", "_origin", "a.b"]
+    rows = [(k, "w " * 30 + f"\n{k}", "en", "s1", 0, *["mine"] * len(names)) for k in range(6)]
+    given = spark.createDataFrame(rows, ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *[f"`{n}` string" for n in names]]))
+    clean = line_runs.dedup_lines(given, min_words=20)
+    mixed = mixture.mixed_rows(given, F.lit("all"), mixture.mix(given, F.lit("all"), {}, share=1.0, max_epochs=1))
+    told = langid.identify(given, langid.fit(given))
+    for made in (clean, mixed, told):
+        found = made.collect()
+        assert len(found) == 6 and {tuple(r[n] for n in names) for r in found} == {("mine",) * len(names)}
+    assert sum(r.n_removed for r in clean.collect()) == 5
+
+
+def test_mixture_spends_its_budget(spark):
+    docs = spark.createDataFrame([(k, "w " * (1 + k % 40), f"l{k % 3}", f"s{k % 7}") for k in range(3000)], "doc_id long, text string, lang string, source string")
+    chosen = mixture.mix(docs, F.lit("all"), {"language": {"l0": 3.0}}, share=0.5, max_epochs=1)
+    total = sum(1 + k % 40 for k in range(3000))
+    assert abs(sum(r.tokens * r.copies for r in chosen.collect()) - total / 2) <= 40
