@@ -15,6 +15,7 @@ which slot. An empty table packs to no rows. Input columns are not carried.
 from __future__ import annotations
 
 import functools
+import itertools
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,10 @@ from wardflow.llm.common import blocks, coded_words, ragged, running_total, stag
 
 CAPACITY = 4096
 END = 1  # id that closes every document
-REMEMBERED = 200_000  # distinct words whose ids a worker keeps
+REMEMBERED = 600_000  # distinct words whose ids a worker keeps from block to block
 AT_ONCE = 4096  # words encoded in one call: encodings are far larger than their ids
+MARKS = ".,;:!?"
+PLAIN = r"^\p{L}+[.,;:!?]?$"  # words that can be encoded many at a time
 RANK_CELLS = 1024  # pieces of one length are ranked in so many cells
 
 
@@ -42,27 +46,69 @@ def default_tokenizer() -> str:
 
 class WordIds:
     """Ids of words, remembered between blocks. The tokenizer drops white space and
-    never joins what white space parts, so words can be encoded one by one."""
+    never joins what white space parts, so words can be encoded one by one, or many as one
+    text where the ids show where each ends."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ids = Tokenizer.from_file(path), {}
-
-    def of(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words in one array; where each word's begin; how many."""
-        new = [w for w in distinct if w not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
-            new = distinct
-        for k in range(0, len(new), AT_ONCE):
-            some = new[k : k + AT_ONCE]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.ids[w] = e.ids
-        each = [self.ids[w] for w in distinct]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.slots: dict[str, int] = {}  # word -> place in ``first`` and ``n``
+        self.first, self.n, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # Letters and a mark after them are parts of their own, each closed by an id that shows it.
+        self.joins = [int(self.ends[e.ids].sum()) for e in self.tokenizer.encode_batch_fast(["a", "a,"], add_special_tokens=False)] == [1, 2]
+
+    def one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         n = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(n.sum()))
-        return flat, np.cumsum(n) - n, n
+        return np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(n.sum())), n
+
+    def as_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters, with one mark behind them at most, as one text. Each part has at
+        least one closing id, so as many as there are parts means one each."""
+        parts = np.fromiter((1 if w[-1] not in MARKS else 2 for w in words), np.int64, len(words))
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        closing = np.flatnonzero(self.ends[ids])
+        if len(closing) != parts.sum():
+            return self.one_by_one(words)
+        return ids, np.diff(closing[np.cumsum(parts) - 1] + 1, prepend=0)
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Ids of all words in one array, how many each has, and the words in that order."""
+        plain = pc.match_substring_regex(words, PLAIN) if self.joins else pa.array(np.zeros(len(words), bool))
+        ids, n, order = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
+        for chosen, encode in ((words.filter(plain).to_pylist(), self.as_one), (words.filter(pc.invert(plain)).to_pylist(), self.one_by_one)):
+            for k in range(0, len(chosen), AT_ONCE):
+                some_ids, some_n = encode(chosen[k : k + AT_ONCE])
+                ids.append(some_ids)
+                n.append(some_n)
+            order += chosen
+        return np.concatenate(ids), np.concatenate(n), order
+
+    def of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all remembered words in one array; where those of ``distinct`` begin; how many."""
+        words = distinct.to_pylist()
+        slots = np.fromiter((self.slots.get(w, -1) for w in words), np.int64, len(words))
+        new = slots < 0
+        if new.any():
+            if len(self.slots) + int(new.sum()) > REMEMBERED:  # only what this block uses stays
+                kept, order = slots[~new], list(itertools.compress(words, ~new))
+                ids, n = self.pool[ragged(self.first[kept], self.n[kept])], self.n[kept]
+                self.slots = {}
+            else:
+                ids, n, order = self.pool, self.n, []
+            new_ids, new_n, new_words = self.encoded(distinct.filter(pa.array(new)))
+            begin = len(self.slots)
+            self.slots.update(zip(order + new_words, range(begin, begin + len(order) + len(new_words)), strict=True))
+            self.pool, self.n = np.concatenate([ids, new_ids]), np.concatenate([n, new_n])
+            self.first = np.cumsum(self.n) - self.n
+            slots = np.fromiter((self.slots[w] for w in words), np.int64, len(words))
+        return self.pool, self.first[slots], self.n[slots]
 
 
 @functools.lru_cache(maxsize=2)
@@ -79,7 +125,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         for whole in batches:
             for batch in blocks(whole, "text"):
                 codes, distinct, n_words = coded_words(batch.column("text"), lower=False)
-                flat, first, n = word_ids(tokenizer).of(distinct.to_pylist())
+                flat, first, n = word_ids(tokenizer).of(distinct)
                 ids = flat[ragged(first[codes], n[codes])].astype("<u4")
                 ends = np.cumsum(n[codes]) if len(codes) else np.zeros(0, np.int64)
                 ends = np.concatenate([[0], ends])[np.cumsum(n_words)]
