@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,38 @@ def test_near_copies_of_frequent_shingles_are_found_in_pairs():
                 assert len(np.intersect1d(shingle_join.signatures(x, frequent(x), 85), shingle_join.signatures(y, frequent(y), 85)))
 
 
+def test_sketches_never_differ_by_more_than_the_sets():
+    """So no similar pair is sifted out, whatever the sizes; unlike sets are told apart."""
+    rng = np.random.default_rng(5)
+    for n, other in ((1, 1), (3, 200), (64, 65), (128, 130), (500, 520), (1000, 1030), (5000, 5100)):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for kept in (0, n // 2, n - n // 10, n):
+            y = np.unique(np.concatenate([x[:kept], rng.integers(0, 2**63, other - kept).astype(np.uint64)]))
+            apart, truth = shingle_join.sketch_distance(shingle_join.sketch_of(x), shingle_join.sketch_of(y)), len(np.setxor1d(x, y))
+            assert apart == shingle_join.sketch_distance(shingle_join.sketch_of(y), shingle_join.sketch_of(x)) <= truth
+            if kept == 0 and n >= 64:
+                assert 185 * apart > 15 * (len(x) + len(y))
+    assert shingle_join.sketch_distance(shingle_join.sketch_of(x), shingle_join.sketch_of(x)) == 0
+
+
+def test_words_encoded_together_have_their_own_ids():
+    """Plain words as one text, odd ones alone, and what a full memory forgets."""
+    ids = packing.WordIds(packing.default_tokenizer())
+    given = ["plain", "Words,", "x²", "İstanbul", "it's", "<|endoftext|>", "a.b", "…", "漢字", "ﬁ", "é", "e\u0301", "one.", "१२", "ΑΣ"]
+    for words in (given, given[::-1], ["new", *given]):
+        pool, first, n = ids.of(pa.array(words))
+        assert [pool[a : a + k].tolist() for a, k in zip(first, n, strict=True)] == [ids.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_word_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    ids = packing.WordIds(packing.default_tokenizer())
+    for words in (["a", "b", "c"], ["b", "d", "e", "f"], ["f", "a"]):
+        pool, first, n = ids.of(pa.array(words))
+        assert [pool[a : a + k].tolist() for a, k in zip(first, n, strict=True)] == [ids.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(ids.slots) <= 5
+
+
 def test_quality_counts_and_verdicts(docs):
     given = defaultdict(list)
     for i, t, *_ in documents():

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardflow.sources import folders
+
 SPACE = r"[\x20\x09-\x0D]+"  # what separates words
 BLOCK_BYTES = 8 << 20  # text one vectorised step works on
 
@@ -39,6 +41,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Staged tables of one job, by name. Writing a name again deletes the table it named
+    before, once the new one is there; so rounds that replace their tables take no more disk."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+        self.folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.option("compression", "zstd").parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                folders.delete(self.spark, self.paths.pop(name))
+
+
 def stage_by(df: DataFrame, key: str) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key``: what is grouped or joined by the key later
     on reads it as it lies, and only the other side is shuffled."""

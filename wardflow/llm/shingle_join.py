@@ -13,8 +13,14 @@ Equal sets are one node. Within a bucket nodes are compared with a first hub, th
 more hubs at a time, the most typical first (fewest rare tokens of their own), but never with
 nodes known to be in their component nor with those whose own tokens rule it out: groups
 of thousands of copies collapse in the first rounds. Every node of a bucket that is not in a
-hub's component is compared with it in the end, so no component is missed. Candidates
-are verified on whole sets. Tokens are 64-bit hashes; equal hashes are taken as equal.
+hub's component is compared with it in the end, so no component is missed: in a bucket of
+n nodes that are alike in nothing but its key, n * n / 2 pairs at worst, which only a key
+that is neither frequent nor ruled out by the prefixes can make.
+
+Each set has a sketch: one bit for each slot a token may hash to, telling whether it got an
+odd number of them. Two sketches differ in no more bits than the sets differ in tokens, so
+a pair whose sketches differ too much is none, and nothing similar is lost. Only what is
+left is verified, on whole sets made again from the texts. Tokens are 64-bit hashes; equal hashes are taken as equal.
 
 Defined results: NULL, empty or blank text has an empty set, linked with nothing. Fewer
 words than a shingle make one shingle of all. Repeated rows are equal sets; a NULL doc_id
@@ -33,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, coded_words, mixed, stage
+from wardflow.llm.common import Scratch, blocks, coded_words, mixed, stage
 from wardflow.llm.components import components
 
 FREQUENT_HERE = 12  # documents of one block that make a token a candidate for "frequent"
@@ -120,6 +126,24 @@ def node_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """A bit for each slot: does an odd number of tokens fall into it? As many slots as the
+    next power of two above the tokens, 64 at least."""
+    slots = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Bits two sketches differ in: at most the tokens one set has and the other lacks. The
+    longer sketch is folded to the length of the shorter."""
+    if len(x) < len(y):
+        x, y = y, x
+    short = np.frombuffer(y, np.uint64)
+    folded = np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, len(short)), axis=0)
+    return int(np.bitwise_count(folded ^ short).sum())
+
+
 def frequent_tokens(docs: DataFrame, size: int) -> np.ndarray:
     """At most ``FREQUENT_MOST`` tokens that many documents have, the most frequent first."""
 
@@ -143,8 +167,8 @@ def is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def indexed(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, node, keys): what each document is found by; how many keys are
-    rare tokens, and whether those are all rare tokens it has."""
+    """(doc_id, n_shingles, node, keys, sketch): what each document is found by; how many keys
+    are rare tokens, and whether those are all rare tokens it has."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,9 +181,9 @@ def indexed(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 singles = [int((k & 1 == 0).sum()) for k in keys]
                 whole_rare = [m <= allowed_misses(len(s), percent) for m, s in zip(singles, sets, strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(node_of, sets)), pa.int64()), pa.array(singles, pa.int32()), pa.array(whole_rare), lists], names=["doc_id", "n_shingles", "node", "singles", "whole_rare", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(node_of, sets)), pa.int64()), pa.array(singles, pa.int32()), pa.array(whole_rare), lists, pa.array(list(map(sketch_of, sets)), pa.binary())], names=["doc_id", "n_shingles", "node", "singles", "whole_rare", "keys", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, "doc_id long, n_shingles long, node long, singles int, whole_rare boolean, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, "doc_id long, n_shingles long, node long, singles int, whole_rare boolean, keys array<long>, sketch binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -186,6 +210,22 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return made.join(wanted.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
+def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``nodes`` (node, doc_id, n, sketch) that the sketches do not rule
+    out, with the doc_id of either."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = np.fromiter(map(sketch_distance, batch.column("x").to_pylist(), batch.column("y").to_pylist()), np.int64, batch.num_rows)
+            near = (100 + percent) * apart <= (100 - percent) * batch.column("all").to_numpy()
+            yield batch.select(["a", "b", "doc_a", "doc_b"]).filter(pa.array(near))
+
+    left = nodes.select(F.col("node").alias("a"), F.col("doc_id").alias("doc_a"), F.col("n").alias("n_a"), F.col("sketch").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("doc_id").alias("doc_b"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "doc_a", "doc_b", (F.col("n_a") + F.col("n_b")).alias("all"), "x", "y")
+    return both.mapInArrow(sift, "a long, b long, doc_a long, doc_b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar."""
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
@@ -215,35 +255,43 @@ def still_open(members: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of the nodes that have a link."""
+    scratch = Scratch(docs.sparkSession)
     keys = index.select("node", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
-    members = stage(keys.join(shared, "key").distinct(), "shared_keys")
+    members = scratch.put(keys.join(shared, "key").distinct(), "shared_keys")
     # Rare tokens of a prefix that no other prefix has count as the node's own.
     matched = members.groupBy("node").agg(F.count_if(F.col("key") % 2 == 0).alias("matched"))
     known = index.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("singles").alias("singles"), F.first("whole_rare").alias("whole_rare"))
     known = known.join(matched, "node").select("node", "n", (F.col("singles") - F.col("matched")).alias("own"), "whole_rare")
-    members = stage(still_open(members.join(known, "node").withColumn("component", F.col("node")), percent), "members")
-    wanted = index.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = stage(sets_of(docs, wanted, size), "sets")
+    members = scratch.put(still_open(members.join(known, "node").withColumn("component", F.col("node")), percent), "members")
+    scratch.drop("shared_keys")
+    nodes = index.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
+    nodes = scratch.put(nodes.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     # Members of buckets that still hold several components; a hub leaves after its round.
     tried, found, labels, hubs = None, None, None, FIRST_HUBS
     typical = Window.partitionBy("key").orderBy("own", "node")
     while not members.isEmpty():
         ranked = members.withColumn("rank", F.row_number().over(typical)).where(F.col("rank") <= hubs)
-        hub = stage(ranked.select("key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "own", "whole_rare")], F.col("component").alias("hub_component")), "hubs")
-        near = possible(percent) & (F.col("component") != F.col("hub_component"))
-        met = members.alias("m").join(hub.alias("h"), (F.col("m.key") == F.col("h.key")) & near)
+        hub = scratch.put(ranked.select("key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "own", "whole_rare")], F.col("component").alias("hub_component")), "hubs")
+        may = possible(percent) & (F.col("component") != F.col("hub_component"))
+        met = members.alias("m").join(hub.alias("h"), (F.col("m.key") == F.col("h.key")) & may)
         pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        new = stage(verified(pairs, sets, percent), "links")
+        near = scratch.put(likely(pairs, nodes, percent), "likely")
+        new = near.select("a", "b")
+        if not near.isEmpty():
+            wanted = near.select(F.col("a").alias("node"), F.col("doc_a").alias("doc_id")).union(near.select("b", "doc_b")).distinct()
+            sets = scratch.put(sets_of(docs, wanted, size), "sets")
+            new = stage(verified(new, sets, percent), "links")
+            scratch.drop("sets")
         rest = members.join(hub.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
         if not new.isEmpty():
             found = new if found is None else found.union(new)
-            labels = components(found)
+            labels = components(found, scratch)
         if labels is not None:
             rest = rest.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        members = stage(still_open(rest, percent), "members")
+        members = scratch.put(still_open(rest, percent), "members")
         hubs *= MORE_HUBS
     return labels
 
