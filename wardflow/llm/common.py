@@ -27,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    folder = tempfile.mkdtemp(prefix="wardflow-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-llm-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
