@@ -127,6 +127,42 @@ def test_quality_counts_and_verdicts(docs):
     assert {r.doc_id for r in rows if r.kept} >= set(range(24))
 
 
+def test_quality_verdict_depends_on_the_source(spark):
+    """The same text falls where marks are rare and stays where they are common; a source of
+    two documents is judged by its language."""
+    body = [f"word{i}" for i in range(200)]
+    marked = " ".join(w + "##" if i % 2 else w for i, w in enumerate(body))
+    some = [" ".join(w + "##" if i % (2 + k % 7) == 0 else w for i, w in enumerate(body)) for k in range(400)]
+    rows = [(k, "en", "markup", some[k]) for k in range(400)] + [(1000 + k, "en", "prose", " ".join(body[k % 50 :])) for k in range(1200)]
+    rows += [(5000, "en", "markup", marked), (5001, "en", "prose", marked), (5002, "en", "tiny", marked), (5003, "en", "tiny", " ".join(body))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    told = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert [told[k].kept for k in (5000, 5001, 5003)] == [True, False, True]
+    assert told[5001].failed_measures.startswith("symbols_per_char") and all(r.kept for k, r in told.items() if k < 5000)
+    limits = {r.source: r.symbols_per_char.high for r in quality.fences(quality.measure(docs).select("*", *quality.measures())).collect()}
+    assert limits["prose"] < limits["markup"]
+
+
+def test_quantiles_of_a_blended_sketch(spark):
+    """A sketch blended with its parent's gives the weighted quantile of both, within the accuracy."""
+    values = spark.createDataFrame([("en", "a", 0.1 * (k + 1), 0.0, 0.0, 1.0 + k) for k in range(50)] + [("en", "b", 9.0, 0.0, 0.0, 400.0)] * 300, ["lang", "source", *quality.MEASURES])
+    high = {r.source: r for r in quality.fences(values).collect()}
+
+    def expected(own, parent, q):
+        # The language is everything here, so its blend has its own shape.
+        weighted = sorted([(v, 1.0) for v in own] + [(v, quality.PRIOR / len(parent)) for v in parent])
+        upto = 0.0
+        for v, w in weighted:
+            upto += w
+            if upto >= q * (len(own) + quality.PRIOR):
+                return v
+
+    a, b = [1.0 + k for k in range(50)], [400.0] * 300
+    for source, own in (("a", a), ("b", b)):
+        for name, q in (("low", 1 - quality.TAIL), ("middle", 0.5), ("high", quality.TAIL)):
+            assert abs(high[source].chars_per_word[name] / expected(own, a + b, q) - 1) <= 2 * quality.ACCURACY
+
+
 def test_budgets_fill_siblings_before_ancestors(spark):
     supply = spark.createDataFrame([("a", "x", "1", 10), ("a", "x", "2", 100), ("a", "y", "1", 100), ("b", "x", "1", 1000)], "domain string, language string, origin string, tokens long")
     rows = mixture.budgets(supply, {}, F.lit(200.0), 1).collect()
@@ -234,13 +270,35 @@ def test_forward_sums_all_segmentations():
     def total(text: str) -> np.ndarray:
         if not text:
             return np.ones(2)
-        return sum((p[index[text[:n]]] * total(text[n:]) for n in range(1, min(len(text), langid.LONGEST) + 1) if text[:n] in index), langid.FLOOR * total(text[1:]))
+        return sum((p[index[text[:n]]] * total(text[n:]) for n in range(1, min(len(text), pieces.longest) + 1) if text[:n] in index), langid.FLOOR * total(text[1:]))
 
     with np.errstate(over="ignore"):
         got = langid.word_scores(["therein", "ß漢字x"], pieces, p)
     assert np.allclose(got, [np.log(total(langid.MARK + w)) for w in ("therein", "ß漢字x")])
 
 
+def test_long_words_are_never_cut(monkeypatch):
+    """Words beyond any ring, rescaling and lookup chunk equal the plain recursion in exact
+    logarithms; so do the expected pieces, whose characters add up to the word's."""
+    pieces = langid.pieces_of(langid.default_vocabulary())
+    index = {t: k for k, t in enumerate(pieces.texts)}
+    p = np.random.default_rng(5).random((len(pieces), 2)) * 1e-3
+    word = "thereinafterß漢" * 40 + "x" * 90
+    text = langid.MARK + word
+    mass = np.full((len(text) + 1, 2), -np.inf)
+    mass[0] = 0.0
+    for end in range(1, len(text) + 1):
+        ways = [mass[end - 1] + np.log(langid.FLOOR)]
+        ways += [mass[end - n] + np.log(p[index[text[end - n : end]]]) for n in range(1, min(end, pieces.longest) + 1) if text[end - n : end] in index]
+        mass[end] = np.logaddexp.reduce(ways, axis=0)
+    monkeypatch.setattr(langid, "CELLS", 64)
+    with np.errstate(over="ignore"):
+        assert np.allclose(langid.word_scores(["an", word], pieces, p)[1], mass[-1])
+        uses = langid.expected_pieces([word], np.array([[3.0, 0.0]]), pieces, p)
+    covered = (uses[:, 0] * [len(t) for t in pieces.texts]).sum()
+    assert np.isfinite(uses).all() and covered <= 3 * len(text) + 1e-6 and covered > 3 * 0.9 * (len(text) - 40) and not uses[:, 1].any()
+
+
 def test_fingerprints(docs):
     rows = merkle.edit_check(docs).collect()
     assert len(rows) == len(documents())

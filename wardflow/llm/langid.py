@@ -3,15 +3,17 @@
 The vocabulary is a fixed public one (never trained here). Each language has a
 probability for every piece, fitted by expectation-maximisation on counted words of
 labelled documents. A word's likelihood is the sum over every way to cut it into
-pieces, found by the forward algorithm; a text's is the product over its words.
+pieces, found by the forward algorithm; a text's is the product over its words. The
+recursion holds as many positions as the longest piece has characters and rescales
+them, so a word may have any length.
 
 Fitting reads a bounded sample of labelled documents (``sample_docs``); everything
 else works on all rows and whole texts. Distinct words of a block are scored once.
 
 Defined results: NULL, empty or letter-free text gives ``und`` and score 0; so does
-every text if no language could be learned. Words are lower-cased. A word of more
-than 31 characters is scored in stretches of 31. Repeated rows are scored alike;
-columns named ``lang_pred`` and ``score`` in the input are replaced.
+every text if no language could be learned. Words are lower-cased; a long word is
+one word, all its segmentations are summed. Equally likely languages: the first by
+name. Repeated rows are scored alike; columns named ``lang_pred`` and ``score`` in the input are replaced.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.common import blocks, coded_words, mixed, remainder, stage, without, words
 
-STRETCH = 31  # characters of a word scored together
-LONGEST = 16  # characters of the longest piece used
+CELLS = 1 << 20  # characters whose pieces are looked up at a time
+RESCALE = 16  # positions between rescalings: FLOOR ** RESCALE is far from underflow
 FLOOR = 1e-7  # probability of a character no piece covers, alike in all languages
 MARK = "▁"  # how the vocabulary writes the start of a word
 HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -50,7 +52,8 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         usable = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))]
-        texts = sorted({t for t in map(model.id_to_piece, usable) if len(t) <= LONGEST})
+        texts = sorted(set(map(model.id_to_piece, usable)))
+        self.longest = max(map(len, texts), default=1)
         keys = np.zeros(len(texts), np.uint64)
         for k, text in enumerate(texts):
             h = np.uint64(0)
@@ -79,77 +82,91 @@ def pieces_of(path: str) -> Pieces:
     return Pieces(path)
 
 
-def stretches(distinct: list[str]) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], int]:
-    """By length: (word of each stretch, matrix of its characters)."""
-    found: dict[int, tuple[list[int], list[str]]] = {}
+def by_length(distinct: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of each word, matrix of their characters) for the words of each length; few
+    enough of them at a time that what is looked up fits ``CELLS``."""
+    found: dict[int, list[int]] = {}
     for k, word in enumerate(distinct):
-        for lo in range(0, len(word), STRETCH):
-            part = (MARK if not lo else "") + word[lo : lo + STRETCH]
-            owner, parts = found.setdefault(len(part), ([], []))
-            owner.append(k)
-            parts.append(part)
-    return {
-        n: (np.array(owner), np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n))
-        for n, (owner, parts) in found.items()
-    }, len(distinct)
+        found.setdefault(len(word), []).append(k)
+    for n, owner in found.items():
+        many = max(1, CELLS // (n + 1))
+        for lo in range(0, len(owner), many):
+            part = owner[lo : lo + many]
+            raw = "".join(MARK + distinct[k] for k in part).encode("utf-32-le", "surrogatepass")
+            yield np.array(part), np.frombuffer(raw, np.uint32).reshape(-1, n + 1)
 
 
 def edges(chars: np.ndarray, pieces: Pieces) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(start, end, rows, pieces) of every piece that occurs in the stretches."""
+    """(start, end, rows, pieces) of every piece that occurs in the words, by start and end."""
     n = chars.shape[1]
     wide = chars.astype(np.uint64) + np.uint64(1)
-    for start in range(n):
-        h = np.zeros(len(chars), np.uint64)
-        for end in range(start + 1, min(n, start + LONGEST) + 1):
-            h = (h + wide[:, end - 1]) * HASH
-            rows, ids = pieces.find(h)
-            if len(rows):
-                yield start, end, rows, ids
-
-
-def forward(chars: np.ndarray, pieces: Pieces, p: np.ndarray) -> tuple[np.ndarray, list]:
-    """Probability mass of all segmentations up to each position: (rows, positions, languages)."""
-    alpha = np.zeros((chars.shape[1] + 1, len(chars), p.shape[1]))
-    alpha[0] = 1.0
-    kept, at = [], 0
-    for start, end, rows, ids in edges(chars, pieces):
+    some = max(1, CELLS // len(chars))
+    for lo in range(0, n, some):
+        starts = min(some, n - lo)
+        h, found = np.zeros((len(chars), starts), np.uint64), []
+        for length in range(1, min(pieces.longest, n - lo) + 1):
+            inside = min(starts, n - lo - length + 1)
+            h = (h[:, :inside] + wide[:, lo + length - 1 : lo + length - 1 + inside]) * HASH
+            at, ids = pieces.find(h.ravel())
+            row, start = np.divmod(at, inside)
+            found.append(((start + lo) * (pieces.longest + 1) + length, row, ids))
+        key, row, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(key, kind="stable")
+        key, row, ids = key[order], row[order], ids[order]
+        cuts = np.flatnonzero(np.diff(key, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True):
+            start, length = divmod(int(key[a]), pieces.longest + 1)
+            yield start, start + length, row[a:b], ids[a:b]
+
+
+def swept(shape: tuple[int, int], n: int, steps: Iterator[tuple], p: np.ndarray, ring: int, keep: bool) -> np.ndarray:
+    """The forward recursion over ``n`` characters: log mass of all segmentations up to the
+    end, or up to every position if ``keep``. ``steps`` are edges by start."""
+    mass, scale, at, logs = np.zeros((ring + 1, *shape)), np.zeros(shape), 0, []
+    mass[0] = 1.0
+
+    def pass_on() -> None:
+        nonlocal scale
+        here = mass[at % (ring + 1)]
+        if at % RESCALE == RESCALE - 1:
+            scale = scale + np.log(here)
+            mass[np.arange(ring + 1) != at % (ring + 1)] /= here
+            here[:] = 1.0
+        if keep:
+            logs.append(np.log(here) + scale)
+        mass[(at + 1) % (ring + 1)] += here * FLOOR
+        here[:] = 0.0
+
+    for start, end, rows, ids in steps:
         while at < start:  # every piece that ends at the next position has been added
-            alpha[at + 1] += alpha[at] * FLOOR
+            pass_on()
             at += 1
-        alpha[end, rows] += alpha[start, rows] * p[ids]
-        kept.append((start, end, rows, ids))
-    while at < chars.shape[1]:
-        alpha[at + 1] += alpha[at] * FLOOR
+        mass[end % (ring + 1), rows] += mass[start % (ring + 1), rows] * p[ids]
+    while at < n:
+        pass_on()
         at += 1
-    return alpha, kept
+    last = np.log(mass[n % (ring + 1)]) + scale
+    return np.stack([*logs, last]) if keep else last
 
 
 def word_scores(distinct: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Log likelihood of each word in each language."""
-    by_length, n = stretches(distinct)
-    out = np.zeros((n, p.shape[1]))
-    for owner, chars in by_length.values():
-        alpha, _ = forward(chars, pieces, p)
-        np.add.at(out, owner, np.log(alpha[-1]))
+    out = np.zeros((len(distinct), p.shape[1]))
+    for owner, chars in by_length(distinct):
+        out[owner] = swept((len(chars), p.shape[1]), chars.shape[1], edges(chars, pieces), p, pieces.longest, False)
     return out
 
 
 def expected_pieces(distinct: list[str], counts: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in each language, given the words' counts there."""
     total = np.zeros(p.shape)
-    for owner, chars in stretches(distinct)[0].values():
-        alpha, kept = forward(chars, pieces, p)
-        beta = np.zeros_like(alpha)
-        beta[-1] = 1.0
-        done = chars.shape[1]
-        for start, end, rows, ids in sorted(kept, key=lambda e: -e[0]):
-            while done > start + 1:  # positions above ``start`` have all their pieces
-                done -= 1
-                beta[done] += beta[done + 1] * FLOOR
-            beta[start, rows] += beta[end, rows] * p[ids]
-        weight = counts[owner] / alpha[-1]
+    for owner, chars in by_length(distinct):
+        n, shape, kept = chars.shape[1], (len(chars), p.shape[1]), list(edges(chars, pieces))
+        before = swept(shape, n, kept, p, pieces.longest, True)
+        turned = sorted(((n - end, n - start, rows, ids) for start, end, rows, ids in kept), key=lambda e: e[:2])
+        after = swept(shape, n, turned, p, pieces.longest, True)[::-1]
         for start, end, rows, ids in kept:
-            np.add.at(total, ids, alpha[start, rows] * p[ids] * beta[end, rows] * weight[rows])
+            np.add.at(total, ids, p[ids] * np.exp(before[start, rows] + after[end, rows] - before[-1, rows]) * counts[owner[rows]])
     return total
 
 

@@ -2,14 +2,18 @@
 
 Two fixed rules (too few words, too much repetition) come first. All else is judged
 against quantiles of the document's own language and source: a sketch of logarithmic
-buckets per group and measure, whose counts add up when groups are merged, so a source
-too small to judge is judged by its language, and a small language by everything. Each
-quantile is within ``ACCURACY`` of a true one, relatively. A document falls when a measure
-lies beyond quartile plus ``WIDTH`` quartile ranges plus a slack that keeps uniform groups
-from judging themselves. The fences are joined back as a table. DataFrame functions only.
+buckets per group and measure, whose counts add up when groups are merged. Every sketch
+is blended with its parent's (source with language, language with everything), which
+counts as ``PRIOR`` documents: a source of few documents is judged mostly by its
+language, one of many by itself, and nothing switches in between. Each quantile is within
+``ACCURACY`` of a true one, relatively. A document falls when a measure lies beyond the
+tail quantile of its group by more than ``REACH`` times the way there from the median
+plus what chance may add in a text of that length (``SURE`` standard errors of a rate),
+so short texts are judged more mildly. Fences are joined back. DataFrame functions only.
 
 Defined results: NULL text has no words and fails the first rule. NULL language or source
 is a group like another. An empty table gives no rows. Repeated rows are judged each.
+Very long texts are measured whole. Equal values share a bucket.
 Other columns are not read, so clashing names do no harm.
 """
 
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import SPACE, let, stage, words
@@ -26,10 +30,13 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 ZERO = -10_000  # bucket of values that are 0
 WINDOW = 8  # words of a repeated window
-MIN_GROUP = 200  # documents a group needs to have fences of its own
-WIDTH = 6.0
-#: measure: (slack above the upper fence, is there a lower fence)
-MEASURES = {"symbols_per_char": (0.05, False), "dup_lines_per_line": (0.50, False), "echoes_per_word": (0.10, False), "chars_per_word": (2.0, True)}
+PRIOR = 100  # documents that a parent's sketch counts as
+TAIL = 0.90  # the upper quantile; the lower one is as far from the other end
+REACH = 2.0
+SURE = 4.0
+RARE = 0.04  # added to a rate before its standard error is taken
+#: measure: (what it is counted in, is there a lower fence)
+MEASURES = {"symbols_per_char": ("word_chars", False), "dup_lines_per_line": ("n_lines", False), "echoes_per_word": ("n_words", False), "chars_per_word": ("n_words", True)}
 
 
 def repeated_words(w: Column) -> Column:
@@ -79,36 +86,36 @@ def sketches(values: DataFrame) -> DataFrame:
 
 
 def merged(sketch: DataFrame, *keys: str) -> DataFrame:
-    return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    """(keys, measure, n, cells): one row a group and measure. Cells are (bucket, n) and no
+    more than there are buckets, however many documents a group has."""
+    summed = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    cell = F.struct("bucket", F.col("n").cast("double").alias("n"))
+    return summed.groupBy(*keys, "measure").agg(F.sum("n").cast("double").alias("n"), F.collect_list(cell).alias("cells"))
 
 
-def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, n, low, high): quartiles of every sketch."""
-    group = Window.partitionBy(*keys, "measure")
-    upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    value = F.when(F.col("bucket") == ZERO, F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")) * 2 / (1 + GAMMA))
-    ranked = sketch.select(*keys, "measure", "n", upto.alias("upto"), F.sum("n").over(group).alias("total"), value.alias("value"))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.lit(q) * F.col("total"), F.col("value")))
-    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("n"), at(0.25).alias("low"), at(0.75).alias("high"))
+def blend(cells: Column, parent: Column, n_parent: Column) -> Column:
+    """A sketch and its parent's, the latter as ``PRIOR`` documents."""
+    return F.concat(cells, F.transform(parent, lambda c: F.struct(c.bucket.alias("bucket"), (c.n * PRIOR / n_parent).alias("n"))))
+
+
+def quantile(cells: Column, q: float) -> Column:
+    """The value below which a share ``q`` of a sketch lies."""
+    total = F.aggregate(cells, F.lit(0.0), lambda a, c: a + c.n)
+    step = lambda a, c: F.struct((a.upto + c.n).alias("upto"), F.when(a.upto < q * a.total, c.bucket).otherwise(a.at).alias("at"), a.total.alias("total"))
+    start = F.struct(F.lit(0.0).alias("upto"), F.lit(ZERO).alias("at"), total.alias("total"))
+    at = F.aggregate(F.array_sort(cells), start, step, lambda a: a.at)
+    return let(at, lambda b: F.when(b == ZERO, F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), b) * 2 / (1 + GAMMA)))
 
 
 def fences(values: DataFrame) -> DataFrame:
-    """(lang, source, <measure>_from, <measure>_to) for every group."""
+    """(lang, source, then low, middle and high of every measure) for every group."""
     by_source = stage(sketches(values), "quality_sketches")
-    own = quantiles(by_source, ["lang", "source"])
-    language = quantiles(merged(by_source, "lang"), ["lang"]).select(F.col("lang").alias("_lang"), F.col("measure").alias("_measure"), F.struct("n", "low", "high").alias("of_language"))
-    everything = quantiles(merged(by_source), []).select(F.col("measure").alias("_every"), F.struct("low", "high").alias("of_all"))
-    joined = own.join(language, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_measure"))).join(everything, F.col("measure") == F.col("_every"))
-    large = F.col("n") >= MIN_GROUP
-    pick = lambda q: F.when(large, F.col(q)).when(F.col("of_language.n") >= MIN_GROUP, F.col(f"of_language.{q}")).otherwise(F.col(f"of_all.{q}"))
-    chosen = joined.select("lang", "source", "measure", pick("low").alias("low"), pick("high").alias("high"))
-    out = []
-    for m, (slack, lower) in MEASURES.items():
-        reach = WIDTH * (F.col("high") - F.col("low")) + slack
-        mine = F.col("measure") == m
-        out.append(F.max(F.when(mine, F.col("high") + reach)).alias(f"{m}_to"))
-        out.append(F.max(F.when(mine, F.col("low") - reach if lower else F.lit(float("-inf")))).alias(f"{m}_from"))
-    return chosen.groupBy("lang", "source").agg(*out)
+    own, language, every = merged(by_source, "lang", "source").alias("o"), merged(by_source, "lang").alias("l"), merged(by_source).alias("e")
+    joined = own.join(language, F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.measure") == F.col("l.measure"))).join(every, F.col("o.measure") == F.col("e.measure"))
+    of_language = blend(F.col("l.cells"), F.col("e.cells"), F.col("e.n"))
+    cells = blend(F.col("o.cells"), of_language, F.col("l.n") + PRIOR)
+    each = joined.select("o.lang", "o.source", "o.measure", *[quantile(cells, q).alias(name) for name, q in (("low", 1 - TAIL), ("middle", 0.5), ("high", TAIL))])
+    return each.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, F.struct("low", "middle", "high"))).alias(m) for m in MEASURES])
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -120,8 +127,14 @@ def judge(docs: DataFrame) -> DataFrame:
     limits = fences(values.where(~F.col("base_failed")))
     on = F.col("d.lang").eqNullSafe(F.col("f.lang")) & F.col("d.source").eqNullSafe(F.col("f.source"))
     joined = values.alias("d").join(limits.alias("f"), on, "left")
-    beyond = F.array_compact(F.array(*[F.when((F.col(f"d.{m}") > F.col(f"f.{m}_to")) | (F.col(f"d.{m}") < F.col(f"f.{m}_from")), F.lit(m)) for m in MEASURES]))
+    beyond = []
+    for m, (unit, lower) in MEASURES.items():
+        value, low, middle, high = F.col(f"d.{m}"), *[F.col(f"f.{m}.{q}") for q in ("low", "middle", "high")]
+        chance = SURE * F.sqrt((high + RARE) / F.greatest(F.col(f"d.{unit}"), F.lit(1)))
+        far = value > high + REACH * (high - middle) + chance
+        beyond.append(F.when(far | (value < low - REACH * (middle - low) - chance) if lower else far, F.lit(m)))
+    names = F.array_compact(F.array(*beyond))
     return joined.select(
         "d.doc_id", "d.n_words", "d.word_chars", "d.n_symbols", "d.n_dup_lines", "d.n_repeat_words", "d.base_failed",
-        (~F.col("d.base_failed") & (F.size(beyond) == 0)).alias("kept"), F.concat_ws(",", beyond).alias("failed_measures"),
+        (~F.col("d.base_failed") & (F.size(names) == 0)).alias("kept"), F.concat_ws(",", names).alias("failed_measures"),
     )
