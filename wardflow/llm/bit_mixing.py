@@ -10,13 +10,18 @@ word's own occurrence taken out, then refined by an adaptive map from (gate, mix
 probability) to what really came. A word's probability depends on (word, gate) only, so
 each distinct pair is scored once and a text's score is a sum over its postings.
 
+Nothing depends on how rows lie in partitions: counts are sums, whole-word contexts are
+admitted by a table summed before, and weights are trained on all learned words in slices
+by a hash of the word, as many as the words need, each in hash order, then averaged.
+
 What is gathered grows with the corpus: all distinct words with their counts per gate and
 postings, and a table whose slots follow the number of words, up to 2^24 (64 MB), which is
 the proven size of what is broadcast. Words and postings are joined, never collected.
 
 Defined results: NULL text is empty, and an empty text is its end mark alone. Without
 learned texts every bit is even. Rows are kept apart, also with equal or NULL doc_id
-(a NULL id is hashed as empty text). Other columns are not read.
+(a NULL id is hashed as empty text). Other columns are not read. Words of any length
+are scored whole, in linear time. Equally common gate words: the first by name.
 """
 
 from __future__ import annotations
@@ -34,10 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, coded_words, ragged, stage
+from wardflow.llm.common import blocks, coded_words, mixed, stage
 
 GATES = 15  # very common words that gate; 0: none so far
 CONTEXTS = 5
+WHOLE = (3, 4)  # those that hold the whole word so far
 LEVELS = np.array([0, 1, 2, 4, 8, 32, 128])  # how well a context is known: the first gate tells these apart
 STEPS = 33  # of the refining map
 MOST_BITS = 24
@@ -45,11 +51,13 @@ START = (0.1, 0.1, 0.2, 0.2, 0.5)  # weights before any training
 CHUNK = 1 << 14
 MERGERS = 32
 PRIOR = 0.4
-ADMIT = 4.0  # words that must share a whole-word context for it to be counted
+ADMIT = 4  # occurrences that must share a whole-word context for it to be counted
 RATE = 1.0
 DAMP = 20.0
 FARTHEST = 0.03  # a weight moves in one batch
 WORDS_A_BATCH = 1500
+SLICE_WORDS = 40_000  # words that one run of training goes over
+COMMON = 1024  # words a block names as its most common
 A, B, C, D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93))
 
 
@@ -92,6 +100,7 @@ class Model:
     gates: list[str]
     code: Code
     bits: int
+    admitted: np.ndarray | None = None
     zeros: np.ndarray | None = None
     ones: np.ndarray | None = None
     by_place: np.ndarray | None = None
@@ -135,11 +144,11 @@ def spell(words: list[bytes], gate: np.ndarray) -> Spelled:
         h = (h + b + np.uint64(k)) * A
         h ^= h >> np.uint64(29)
         near.append(h)
-    prefix = np.zeros(len(byte), np.uint64)
-    for t in range(1, int(n.max()) if len(n) else 0):
-        here = at[place == t] if t < 4 else (np.cumsum(n) - n)[n > t] + t
-        x = (prefix[here - 1] + wide[here - 1]) * B
-        prefix[here] = x ^ (x >> np.uint64(31))
+    powers = np.cumprod(np.full(int(n.max()) if len(n) else 0, B))
+    upto = np.cumsum(wide * powers[place]) if len(byte) else wide
+    # The word so far: a sum of its characters times powers, freed of the words before.
+    begun = np.concatenate([[np.uint64(0)], upto])
+    prefix = mixed(begun[at] - begun[first])
     contexts = [near[1] + gated, near[2] + gated, near[3], prefix * A + np.uint64(5), prefix * B + gated]
     return Spelled(owner, place, byte, contexts)
 
@@ -149,12 +158,22 @@ def slots(context: np.ndarray, k: int, node: np.ndarray, bits: int) -> np.ndarra
     return ((x ^ (x >> np.uint64(32))) * B >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def add_counts(zeros: np.ndarray, ones: np.ndarray, text: Spelled, weight: np.ndarray, model: Model) -> None:
-    """Add a batch of words that come in order, so words that share a beginning are together."""
+def admission(text: Spelled, k: int, bits: int) -> np.ndarray:
+    return slots(text.contexts[k], k, np.full(len(text.byte), 511), bits)
+
+
+def add_uses(tables: np.ndarray, text: Spelled, weight: np.ndarray, model: Model) -> None:
+    """Count how often each whole-word context is met, whatever byte follows."""
+    for k in WHOLE:
+        np.add.at(tables[0], admission(text, k, model.bits), weight[text.owner])
+
+
+def add_counts(tables: np.ndarray, text: Spelled, weight: np.ndarray, model: Model) -> None:
+    """Add the bits of a batch of words to the counts of zeros and ones."""
+    zeros, ones = tables
     own, admitted = weight[text.owner], [None] * CONTEXTS
-    for k in (CONTEXTS - 2, CONTEXTS - 1):
-        _, group = np.unique(text.contexts[k], return_inverse=True)
-        admitted[k] = np.bincount(group, weights=own)[group] >= ADMIT
+    for k in WHOLE:
+        admitted[k] = model.admitted[admission(text, k, model.bits)]
     for depth in range(len(model.code.bit)):
         deep = model.code.length[text.byte] > depth
         if not deep.any():
@@ -253,16 +272,19 @@ def marked(word: str) -> bytes:
 
 def common_words(docs: DataFrame, learn: Column) -> tuple[list[str], np.ndarray]:
     """The most common words of the learned texts and their bytes' counts. Each block names
-    its own most common ones; a word that is common everywhere is common in most blocks."""
+    its ``COMMON`` most common ones; a word among the few most common of all texts is among
+    so many of every block that has it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole, "text"):
                 codes, distinct, _ = coded_words(batch.column("text"), lower=True)
                 n = np.bincount(codes, minlength=len(distinct))
-                top = np.argsort(-n, kind="stable")[: 4 * GATES]
-                raw = np.bincount(np.frombuffer(b" ".join(distinct.cast(pa.binary()).to_pylist()), np.uint8), minlength=256)
-                rows = [*zip(distinct.take(pa.array(top)).to_pylist(), n[top], strict=True)]
+                names = distinct.to_pylist()
+                top = sorted(range(len(names)), key=lambda k: (-n[k], names[k]))[:COMMON]
+                spelled = [w.encode() + b" " for w in names]
+                raw = np.bincount(np.frombuffer(b"".join(spelled), np.uint8), weights=np.repeat(n, [len(w) for w in spelled]), minlength=256).astype(np.int64)
+                rows = [(names[k], n[k]) for k in top]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows] + [None] * 256, pa.string()), pa.array([None] * len(rows) + list(range(256)), pa.int32()), pa.array([int(r[1]) for r in rows] + raw.tolist(), pa.int64())], names=["word", "byte", "n"]
                 )
@@ -320,84 +342,84 @@ def postings(docs: DataFrame, learn: Column, gates: list[str]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", learn.alias("learn")).mapInArrow(post, schema)
 
 
-def word_batches(batches: Iterator[pa.RecordBatch], learned_only: bool) -> Iterator[tuple]:
-    """(rows of the batch, words with marks, gates, learned counts) of (word, gate) pairs."""
-    for whole in batches:
-        for lo in range(0, len(whole), WORDS_A_BATCH):
-            batch = whole.slice(lo, WORDS_A_BATCH)
-            lists = batch.column("gates")
-            n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(n)), n)
-            gate, learned = lists.flatten().to_numpy(zero_copy_only=False), batch.column("learned").flatten().to_numpy(zero_copy_only=False)
-            use = learned > 0 if learned_only else np.ones(len(gate), bool)
-            words = [marked(w) for w in batch.column("word").to_pylist()]
-            yield batch, [words[o] for o in owner[use]], gate[use].astype(np.int64), learned[use].astype(np.float32), n
+def word_batches(batch: pa.RecordBatch, learned_only: bool) -> Iterator[tuple]:
+    """(words with marks, gates, learned counts, pairs of each word) of the (word, gate) pairs
+    of ``WORDS_A_BATCH`` words at a time; batches without a pair only if all are wanted."""
+    for lo in range(0, len(batch), WORDS_A_BATCH):
+        part = batch.slice(lo, WORDS_A_BATCH)
+        lists = part.column("gates")
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(n)), n)
+        gate, learned = lists.flatten().to_numpy(zero_copy_only=False), part.column("learned").flatten().to_numpy(zero_copy_only=False)
+        use = learned > 0 if learned_only else np.ones(len(gate), bool)
+        words = [marked(w) for w in part.column("word").to_pylist()]
+        if use.any() or not learned_only:
+            yield [words[o] for o in owner[use]], gate[use].astype(np.int64), learned[use].astype(np.float32), n
 
 
-def hashed_counts(words: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Bit counts of all contexts over all learned texts. Tasks send the chunks of the table
-    that they touched, compressed; chunks are summed in two steps."""
+def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.ndarray:
+    """Tables of hashed sums over all learned words, as count codes. Tasks send the chunks
+    of the tables that they touched, compressed; chunks are summed in two steps."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zeros, ones = (np.zeros(1 << model.bits, np.float32) for _ in range(2))
+        sums = np.zeros((tables, 1 << model.bits), np.float32)
         with np.errstate(over="ignore"):
-            for _, spelled, gate, weight, _ in word_batches(batches, True):
-                if spelled:
-                    add_counts(zeros, ones, spell(spelled, gate), weight, model)
+            for batch in batches:
+                for spelled, gate, weight, _ in word_batches(batch, True):
+                    add_batch(sums, spell(spelled, gate), weight, model)
         part = TaskContext.get().partitionId() % MERGERS
         for chunk in range(0, 1 << model.bits, CHUNK):
-            both = np.stack([zeros[chunk : chunk + CHUNK], ones[chunk : chunk + CHUNK]])
-            if both.any():
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([zlib.compress(both.tobytes(), 1)], pa.binary())], names=["chunk", "part", "counts"])
+            piece = np.ascontiguousarray(sums[:, chunk : chunk + CHUNK])
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], names=["chunk", "part", "counts"])
+
+    def total(group: pd.DataFrame) -> np.ndarray:
+        return sum(np.frombuffer(zlib.decompress(x), np.float32).astype(np.float64) for x in group["counts"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.float32).astype(np.float64) for x in group["counts"])
-        return pd.DataFrame({"chunk": group["chunk"][:1], "part": group["part"][:1], "counts": [zlib.compress(total.astype(np.float32).tobytes(), 1)]})
+        return pd.DataFrame({"chunk": group["chunk"][:1], "part": group["part"][:1], "counts": [zlib.compress(total(group).astype(np.float32).tobytes(), 1)]})
 
     def coded(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.float32).astype(np.float64) for x in group["counts"])
-        return pd.DataFrame({"chunk": group["chunk"][:1], "counts": [count_code(total).tobytes()]})
+        return pd.DataFrame({"chunk": group["chunk"][:1], "counts": [count_code(total(group)).tobytes()]})
 
-    sent = words.select("word", "gates", "learned").mapInArrow(count, "chunk int, part int, counts binary")
+    sent = words.where("c > 0").select("word", "gates", "learned").mapInArrow(count, "chunk int, part int, counts binary")
     summed = sent.groupBy("chunk", "part").applyInPandas(add, "chunk int, part int, counts binary")
-    rows = stage(summed.groupBy("chunk").applyInPandas(coded, "chunk int, counts binary"), "hashed_counts").collect()
-    zeros, ones = (np.zeros(1 << model.bits, np.uint8) for _ in range(2))
+    rows = stage(summed.groupBy("chunk").applyInPandas(coded, "chunk int, counts binary"), "hashed_sums").collect()
+    out = np.zeros((tables, 1 << model.bits), np.uint8)
     for r in rows:
-        both = np.frombuffer(r["counts"], np.uint8).reshape(2, -1)
-        zeros[r["chunk"] : r["chunk"] + CHUNK], ones[r["chunk"] : r["chunk"] + CHUNK] = both
-    return zeros, ones
+        out[:, r["chunk"] : r["chunk"] + CHUNK] = np.frombuffer(r["counts"], np.uint8).reshape(tables, -1)
+    return out
 
 
-def mixing(words: DataFrame, held, train_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights and map: every task trains its own, online over its words in a mingled order;
-    they are averaged by the words seen (weights) and added up (maps). These few hundred
-    weights are fitted on about ``train_words`` words, picked by hash; counts are of all."""
+def mixing(words: DataFrame, held, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights and map, trained online on all learned words. Words are dealt by hash into
+    slices of about ``SLICE_WORDS``; a slice is one run, in hash order, from the same start.
+    Weights are averaged by the words seen, maps are added up."""
+    sizes = (len(LEVELS) ** 2 * CONTEXTS, 256 * CONTEXTS)
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(slice_: pa.Table) -> pa.Table:
         model, total, step = fresh(held.value), 0.0, 0
         start = model.refined.copy()
+        ordered = slice_.sort_by([("order", "ascending"), ("word", "ascending")]).combine_chunks()
         with np.errstate(over="ignore"):
-            for _, spelled, gate, weight, _ in word_batches(batches, True):
-                if spelled:
+            for batch in ordered.to_batches():
+                for spelled, gate, weight, _ in word_batches(batch, True):
                     train(spell(spelled, gate), gate, weight, model, RATE / (1 + step / 20) + 0.01)
-                    total, step = total + weight.sum(), step + 1
-        if step:
-            flat = np.concatenate([model.by_place.ravel() * total, model.by_node.ravel() * total, (model.refined - start).ravel(), [total]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], names=["at", "value"])
+                    total, step = total + weight.sum(dtype=np.float64), step + 1
+        flat = np.concatenate([model.by_place.ravel() * total, model.by_node.ravel() * total, (model.refined - start).ravel(), [total]])
+        return pa.table({"at": pa.array(np.arange(len(flat)), pa.int32()), "value": pa.array(flat)})
 
-    total = words.count()
     order = F.xxhash64("word", F.lit("mixing"))
-    part = words.where(F.pmod(order, F.lit(1 << 30)) < int(min(1.0, train_words / max(1, total)) * (1 << 30)))
-    mingled = part.select("word", "gates", "learned").repartition(order).sortWithinPartitions(order)
-    sums = mingled.mapInArrow(learn, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
+    dealt = words.where("c > 0").select("word", "gates", "learned", order.alias("order"), F.pmod(order, F.lit(max(1, -(-n_words // SLICE_WORDS)))).alias("slice"))
+    sums = dealt.groupBy("slice").applyInArrow(learn, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
     model = fresh(Model([], None, 0))
     if len(sums):
         flat = np.zeros(len(sums))
         flat[sums["at"]] = sums["value"]
-        a, b = model.by_place.size, model.by_node.size
+        a, b = sizes[0], sum(sizes)
         model.by_place = flat[:a].reshape(model.by_place.shape) / flat[-1]
-        model.by_node = flat[a : a + b].reshape(model.by_node.shape) / flat[-1]
-        model.refined = model.refined + flat[a + b : -1].reshape(model.refined.shape)
+        model.by_node = flat[a:b].reshape(model.by_node.shape) / flat[-1]
+        model.refined = model.refined + flat[b:-1].reshape(model.refined.shape)
     return model.by_place, model.by_node, model.refined
 
 
@@ -407,42 +429,51 @@ def scored_words(words: DataFrame, held) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         with np.errstate(over="ignore"):
-            for batch, spelled, gate, _, n in word_batches(batches, False):
-                logs = log10_of(spell(spelled, gate), gate, len(spelled), model)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(logs))], names=[*batch.schema.names, "logs"])
+            for whole in batches:
+                logs, n = [np.zeros(0)], [np.zeros(0, np.int64)]
+                for spelled, gate, _, pairs in word_batches(whole, False):
+                    logs.append(log10_of(spell(spelled, gate), gate, len(spelled), model))
+                    n.append(pairs)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(n))]), pa.int32())
+                yield pa.RecordBatch.from_arrays([*whole.columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(logs)))], names=[*whole.schema.names, "logs"])
 
     return words.mapInArrow(score, "word string, c long, gates array<int>, learned array<long>, logs array<double>")
 
 
-def score_texts(docs: DataFrame, learn: Column, train_words: int = 200_000) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     """One row per row of ``docs``: doc_id, learned, n_tokens, n_known, train_tokens,
-    base_score (smoothed unigrams), score (the mixing model) and bits_per_byte's numerator
-    ``bits``. ``learn`` says which texts may be learned from."""
+    base_score (smoothed unigrams), score (the mixing model), ``bits``, ``n_bytes`` (of its
+    words, each with its mark) and ``bits_per_byte``. ``learn`` says which texts may be
+    learned from."""
     spark = docs.sparkSession
     gates, bytes_ = common_words(docs, learn)
     rows = stage(postings(docs, learn, gates), "postings")
     posted = rows.where("word IS NOT NULL")
-    pairs = posted.select("word", F.explode(F.arrays_zip("gates", "learned")).alias("g")).groupBy("word", "g.gates").agg(F.sum("g.learned").alias("n"))
-    pairs = pairs.groupBy("word").agg(F.sum("n").alias("c"), F.sort_array(F.collect_list(F.struct("gates", "n"))).alias("g"))
-    pairs = pairs.select("word", "c", F.col("g.gates").alias("gates"), F.col("g.n").alias("learned"))
-    words = stage(pairs.repartitionByRange("word").sortWithinPartitions("word"), "words")
+    # One shuffle by word: a sum for each gate, NULL where the word never follows it.
+    at = lambda g: F.get("learned", F.array_position("gates", F.lit(g)).cast("int") - 1)
+    sums = posted.groupBy("word").agg(*[F.sum(at(g)).alias(f"g{g}") for g in range(GATES + 1)])
+    met = F.filter(F.array(*[F.struct(F.lit(g).alias("gate"), F.col(f"g{g}").alias("n")) for g in range(GATES + 1)]), lambda x: x.n.isNotNull())
+    sums = sums.select("word", met.alias("g")).select("word", F.aggregate("g", F.lit(0).cast("long"), lambda a, x: a + x.n).alias("c"), F.col("g.gate").alias("gates"), F.col("g.n").alias("learned"))
+    words = stage(sums, "words")
     n, v, all_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count("*")).first()
     model = Model(gates, prefix_code(bytes_), int(min(MOST_BITS, max(16, np.ceil(np.log2(all_words + 1)) + 3))))
-    model.zeros, model.ones = hashed_counts(words, model)
+    model.admitted = hashed_sums(words, model, 1, add_uses)[0] >= ADMIT
+    model.zeros, model.ones = hashed_sums(words, model, 2, add_counts)
+    model.admitted = None  # it only decides what is counted
     held = spark.sparkContext.broadcast(model)
-    model.by_place, model.by_node, model.refined = mixing(words, held, train_words)
+    model.by_place, model.by_node, model.refined = mixing(words, held, v)
     held = spark.sparkContext.broadcast(model)
+    size = F.octet_length("word") + F.when(F.col("word") == "\n", 0).otherwise(1)
     base = F.log10((F.col("c") + 0.5) / (n + 0.5 * (v + 1)))
-    scored = stage(scored_words(words, held).select("word", base.alias("base"), (F.col("c") > 0).alias("known"), F.map_from_arrays("gates", "logs").alias("logs")), "scored_words")
-    each = posted.select("block", "word", "packed").join(scored, "word").select("block", "base", "known", "logs", F.explode("packed").alias("p"))
+    scored = stage(scored_words(words, held).select("word", base.alias("base"), (F.col("c") > 0).alias("known"), size.alias("n_bytes"), F.map_from_arrays("gates", "logs").alias("logs")), "scored_words")
+    each = posted.select("block", "word", "packed").join(scored, "word").select("block", "base", "known", "n_bytes", "logs", F.explode("packed").alias("p"))
     count = F.shiftright("p", 32)
     log = F.element_at("logs", F.shiftright("p", 24).bitwiseAND(255).cast("int"))
     sums = each.groupBy("block", F.col("p").bitwiseAND((1 << 24) - 1).cast("int").alias("number")).agg(
-        F.sum(F.when(F.col("known"), count).otherwise(0)).alias("n_known"), F.sum(count * F.col("base")).alias("base_score"), F.sum(count * log).alias("score")
+        F.sum(F.when(F.col("known"), count).otherwise(0)).alias("n_known"), F.sum(count * F.col("base")).alias("base_score"), F.sum(count * log).alias("score"), F.sum(count * F.col("n_bytes")).alias("n_bytes")
     )
     one = rows.where("word IS NULL").select("block", F.posexplode(F.arrays_zip("doc_ids", "doc_learned", "packed")).alias("number", "d"))
     return one.join(sums, ["block", "number"]).select(
         F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_learned").alias("learned"), F.col("d.packed").alias("n_tokens"), "n_known",
-        F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / np.log10(2.0)).alias("bits"),
+        F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / np.log10(2.0)).alias("bits"), "n_bytes", (-F.col("score") / np.log10(2.0) / F.col("n_bytes")).alias("bits_per_byte"),
     )

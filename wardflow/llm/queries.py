@@ -27,7 +27,7 @@ def domain() -> Column:
 
 def op1_bit_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = bit_mixing.score_texts(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) != 1)
-    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits")
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits", "n_bytes", "bits_per_byte")
 
 
 def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
