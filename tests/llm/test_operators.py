@@ -51,6 +51,37 @@ def test_bit_probabilities_of_all_next_bytes_sum_to_one():
     assert abs((10**logs).sum() - 1) < 1e-6
 
 
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    learn = remainder(F.col("doc_id"), 5) != 1
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.base_score, r.score)
+    one = sorted(bit_mixing.score_texts(docs, learn).collect(), key=key)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "5")
+        two = sorted(bit_mixing.score_texts(docs.repartition(7), learn).collect(), key=key)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [(r.doc_id, r.n_tokens, r.n_bytes) for r in one] == [(r.doc_id, r.n_tokens, r.n_bytes) for r in two]
+    assert np.allclose([r.score for r in one], [r.score for r in two], rtol=1e-6)
+    sizes = Counter((i, sum(len(w.encode()) + 1 for w in tokens(t)) + 1) for i, t, *_ in documents())
+    assert Counter((r.doc_id, r.n_bytes) for r in one) == sizes
+
+
+def test_contexts_equal_plain_prefixes_and_long_words_are_quick():
+    """Two bytes share a whole-word context exactly if what stands before them is the same."""
+    words = [b"there ", b"therein ", b"the ", b"here ", b"there ", bytes([97]) * 200_000 + b" "]
+    with np.errstate(over="ignore"):
+        text = bit_mixing.spell(words, np.zeros(len(words), np.int64))
+    assert len(text.byte) == sum(map(len, words))
+    short = np.flatnonzero(text.owner < 5)
+    prefixes = [words[o][:k] for o, k in zip(text.owner[short], text.place[short], strict=True)]
+    names = {}
+    for prefix, context in zip(prefixes, text.contexts[3][short].tolist(), strict=True):
+        assert names.setdefault(prefix, context) == context
+    assert len(set(names.values())) == len(names)
+    assert len(np.unique(text.contexts[3][text.owner == 5])) == 200_001
+
+
 def test_shingle_join_equals_all_pairs(docs):
     rows = shingle_join.similar_sets(docs, 4, 85).collect()
     given = documents()

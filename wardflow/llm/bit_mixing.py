@@ -51,7 +51,7 @@ START = (0.1, 0.1, 0.2, 0.2, 0.5)  # weights before any training
 CHUNK = 1 << 14
 MERGERS = 32
 PRIOR = 0.4
-ADMIT = 4  # occurrences that must share a whole-word context for it to be counted
+ADMIT = 2  # occurrences that must share a whole-word context for it to be counted
 RATE = 1.0
 DAMP = 20.0
 FARTHEST = 0.03  # a weight moves in one batch
