@@ -12,7 +12,7 @@ each distinct pair is scored once and a text's score is a sum over its postings.
 
 Nothing depends on how rows lie in partitions: counts are sums, whole-word contexts are
 admitted by a table summed before, and weights are trained on all learned words in slices
-by a hash of the word, as many as the words need, each in hash order, then averaged.
+by a hash of the word, as many as the words need, each in a fixed order, then averaged.
 
 What is gathered grows with the corpus: all distinct words with their counts per gate and
 postings, and a table whose slots follow the number of words, up to 2^24 (64 MB), which is
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, coded_words, mixed, stage
+from wardflow.llm.common import Scratch, blocks, coded_words, mixed, stage
 
 GATES = 15  # very common words that gate; 0: none so far
 CONTEXTS = 5
@@ -165,7 +165,9 @@ def admission(text: Spelled, k: int, bits: int) -> np.ndarray:
 def add_uses(tables: np.ndarray, text: Spelled, weight: np.ndarray, model: Model) -> None:
     """Count how often each whole-word context is met, whatever byte follows."""
     for k in WHOLE:
-        np.add.at(tables[0], admission(text, k, model.bits), weight[text.owner])
+        slot = admission(text, k, model.bits)
+        np.add.at(tables[0], slot, weight[text.owner])
+        tables[0, slot] = np.minimum(tables[0, slot], ADMIT)  # more makes no difference
 
 
 def add_counts(tables: np.ndarray, text: Spelled, weight: np.ndarray, model: Model) -> None:
@@ -240,15 +242,16 @@ def train(text: Spelled, gate: np.ndarray, weight: np.ndarray, model: Model, rat
         mixed = mix(logits, place, node, model)
         p = 1 / (1 + np.exp(-mixed))
         error, spread = (bit - p) * w, p * (1 - p) * w
-        for table, index in ((model.by_place, place), (model.by_node, node)):
-            for k in range(CONTEXTS):  # a damped Newton step for each weight; gates seen rarely move little
-                slope = np.bincount(index, weights=error * logits[k], minlength=len(table))
-                bend = np.bincount(index, weights=spread * logits[k] ** 2, minlength=len(table))
+        for k in range(CONTEXTS):  # a damped Newton step for each weight; gates seen rarely move little
+            slopes, bends = error * logits[k], spread * logits[k] ** 2
+            for table, index in ((model.by_place, place), (model.by_node, node)):
+                slope = np.bincount(index, weights=slopes, minlength=len(table))
+                bend = np.bincount(index, weights=bends, minlength=len(table))
                 step = np.clip(rate / (2 * CONTEXTS) * slope / (bend + DAMP), -FARTHEST, FARTHEST)
                 table[:, k] = np.clip(table[:, k] + step, -1.0, 1.5)
         _, at, share = refine(mixed, gate[text.owner[here]], model)
         for offset, part in ((0, 1 - share), (1, share)):
-            np.add.at(model.refined, (at + offset, bit.astype(np.int64)), w * part)
+            model.refined += np.bincount((at + offset) * 2 + bit, weights=w * part, minlength=model.refined.size).reshape(model.refined.shape)
 
 
 def log10_of(text: Spelled, gate: np.ndarray, n_words: int, model: Model) -> np.ndarray:
@@ -357,6 +360,15 @@ def word_batches(batch: pa.RecordBatch, learned_only: bool) -> Iterator[tuple]:
             yield [words[o] for o in owner[use]], gate[use].astype(np.int64), learned[use].astype(np.float32), n
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Whole numbers compressed by place value: their upper bytes are nearly all zero."""
+    return zlib.compress(np.ascontiguousarray(counts.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked_counts(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.ndarray:
     """Tables of hashed sums over all learned words, as count codes. Tasks send the chunks
     of the tables that they touched, compressed; chunks are summed in two steps."""
@@ -371,13 +383,13 @@ def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.nd
         for chunk in range(0, 1 << model.bits, CHUNK):
             piece = np.ascontiguousarray(sums[:, chunk : chunk + CHUNK])
             if piece.any():
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], names=["chunk", "part", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([packed_counts(piece)], pa.binary())], names=["chunk", "part", "counts"])
 
     def total(group: pd.DataFrame) -> np.ndarray:
-        return sum(np.frombuffer(zlib.decompress(x), np.float32).astype(np.float64) for x in group["counts"])
+        return sum(unpacked_counts(x) for x in group["counts"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chunk": group["chunk"][:1], "part": group["part"][:1], "counts": [zlib.compress(total(group).astype(np.float32).tobytes(), 1)]})
+        return pd.DataFrame({"chunk": group["chunk"][:1], "part": group["part"][:1], "counts": [packed_counts(total(group))]})
 
     def coded(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"chunk": group["chunk"][:1], "counts": [count_code(total(group)).tobytes()]})
@@ -393,14 +405,16 @@ def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.nd
 
 def mixing(words: DataFrame, held, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights and map, trained online on all learned words. Words are dealt by hash into
-    slices of about ``SLICE_WORDS``; a slice is one run, in hash order, from the same start.
+    slices of about ``SLICE_WORDS``; a slice is one run, in a fixed mingled order of its
+    words, from the same start.
     Weights are averaged by the words seen, maps are added up."""
     sizes = (len(LEVELS) ** 2 * CONTEXTS, 256 * CONTEXTS)
 
     def learn(slice_: pa.Table) -> pa.Table:
         model, total, step = fresh(held.value), 0.0, 0
         start = model.refined.copy()
-        ordered = slice_.sort_by([("order", "ascending"), ("word", "ascending")]).combine_chunks()
+        ordered = slice_.sort_by("word")
+        ordered = ordered.take(np.random.default_rng(0).permutation(len(ordered))).combine_chunks()
         with np.errstate(over="ignore"):
             for batch in ordered.to_batches():
                 for spelled, gate, weight, _ in word_batches(batch, True):
@@ -409,8 +423,8 @@ def mixing(words: DataFrame, held, n_words: int) -> tuple[np.ndarray, np.ndarray
         flat = np.concatenate([model.by_place.ravel() * total, model.by_node.ravel() * total, (model.refined - start).ravel(), [total]])
         return pa.table({"at": pa.array(np.arange(len(flat)), pa.int32()), "value": pa.array(flat)})
 
-    order = F.xxhash64("word", F.lit("mixing"))
-    dealt = words.where("c > 0").select("word", "gates", "learned", order.alias("order"), F.pmod(order, F.lit(max(1, -(-n_words // SLICE_WORDS)))).alias("slice"))
+    n_slices = max(1, -(-n_words // SLICE_WORDS))
+    dealt = words.where("c > 0").select("word", "gates", "learned", F.pmod(F.xxhash64("word", F.lit("mixing")), F.lit(n_slices)).cast("int").alias("slice"))
     sums = dealt.groupBy("slice").applyInArrow(learn, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
     model = fresh(Model([], None, 0))
     if len(sums):
@@ -454,7 +468,8 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     sums = posted.groupBy("word").agg(*[F.sum(at(g)).alias(f"g{g}") for g in range(GATES + 1)])
     met = F.filter(F.array(*[F.struct(F.lit(g).alias("gate"), F.col(f"g{g}").alias("n")) for g in range(GATES + 1)]), lambda x: x.n.isNotNull())
     sums = sums.select("word", met.alias("g")).select("word", F.aggregate("g", F.lit(0).cast("long"), lambda a, x: a + x.n).alias("c"), F.col("g.gate").alias("gates"), F.col("g.n").alias("learned"))
-    words = stage(sums, "words")
+    scratch = Scratch(spark)
+    words = scratch.put(sums, "words")
     n, v, all_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count("*")).first()
     model = Model(gates, prefix_code(bytes_), int(min(MOST_BITS, max(16, np.ceil(np.log2(all_words + 1)) + 3))))
     model.admitted = hashed_sums(words, model, 1, add_uses)[0] >= ADMIT
@@ -466,6 +481,7 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     size = F.octet_length("word") + F.when(F.col("word") == "\n", 0).otherwise(1)
     base = F.log10((F.col("c") + 0.5) / (n + 0.5 * (v + 1)))
     scored = stage(scored_words(words, held).select("word", base.alias("base"), (F.col("c") > 0).alias("known"), size.alias("n_bytes"), F.map_from_arrays("gates", "logs").alias("logs")), "scored_words")
+    scratch.drop("words")
     each = posted.select("block", "word", "packed").join(scored, "word").select("block", "base", "known", "n_bytes", "logs", F.explode("packed").alias("p"))
     count = F.shiftright("p", 32)
     log = F.element_at("logs", F.shiftright("p", 24).bitwiseAND(255).cast("int"))
