@@ -49,7 +49,6 @@ STEPS = 33  # of the refining map
 MOST_BITS = 24
 START = (0.1, 0.1, 0.2, 0.2, 0.5)  # weights before any training
 CHUNK = 1 << 14
-MERGERS = 32
 PRIOR = 0.4
 ADMIT = 2  # occurrences that must share a whole-word context for it to be counted
 RATE = 1.0
@@ -312,6 +311,9 @@ def postings(docs: DataFrame, learn: Column, gates: list[str]) -> DataFrame:
             for batch in blocks(whole, "text"):
                 block, number = (task << 24) + number, number + 1
                 codes, distinct, n_words = coded_words(batch.column("text"), lower=True)
+                # Words in order: neighbours share beginnings, which makes the tables small.
+                order = pc.sort_indices(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
+                codes, distinct = np.argsort(order)[codes], distinct.take(pa.array(order))
                 own = np.array([index.get(w, 0) for w in distinct.to_pylist()] + [0], np.int64)
                 n_docs, end = len(n_words), len(distinct)
                 # Every document's words and then its end, in one row.
@@ -371,7 +373,10 @@ def unpacked_counts(raw: bytes) -> np.ndarray:
 
 def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.ndarray:
     """Tables of hashed sums over all learned words, as count codes. Tasks send the chunks
-    of the tables that they touched, compressed; chunks are summed in two steps."""
+    of the tables that they touched, compressed; chunks are summed in two steps, so that
+    no group holds more than the root of the number of tasks."""
+
+    mergers = int(np.ceil(np.sqrt(words.rdd.getNumPartitions())))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((tables, 1 << model.bits), np.float32)
@@ -379,7 +384,7 @@ def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.nd
             for batch in batches:
                 for spelled, gate, weight, _ in word_batches(batch, True):
                     add_batch(sums, spell(spelled, gate), weight, model)
-        part = TaskContext.get().partitionId() % MERGERS
+        part = TaskContext.get().partitionId() % mergers
         for chunk in range(0, 1 << model.bits, CHUNK):
             piece = np.ascontiguousarray(sums[:, chunk : chunk + CHUNK])
             if piece.any():
@@ -449,9 +454,9 @@ def scored_words(words: DataFrame, held) -> DataFrame:
                     logs.append(log10_of(spell(spelled, gate), gate, len(spelled), model))
                     n.append(pairs)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(n))]), pa.int32())
-                yield pa.RecordBatch.from_arrays([*whole.columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(logs)))], names=[*whole.schema.names, "logs"])
+                yield pa.RecordBatch.from_arrays([*whole.columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(logs), pa.float32()))], names=[*whole.schema.names, "logs"])
 
-    return words.mapInArrow(score, "word string, c long, gates array<int>, learned array<long>, logs array<double>")
+    return words.mapInArrow(score, "word string, c long, gates array<int>, learned array<long>, logs array<float>")
 
 
 def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
@@ -478,13 +483,14 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     held = spark.sparkContext.broadcast(model)
     model.by_place, model.by_node, model.refined = mixing(words, held, v)
     held = spark.sparkContext.broadcast(model)
+    scored = stage(scored_words(words, held).select("word", "c", "gates", "logs"), "scored_words")
+    scratch.drop("words")
     size = F.octet_length("word") + F.when(F.col("word") == "\n", 0).otherwise(1)
     base = F.log10((F.col("c") + 0.5) / (n + 0.5 * (v + 1)))
-    scored = stage(scored_words(words, held).select("word", base.alias("base"), (F.col("c") > 0).alias("known"), size.alias("n_bytes"), F.map_from_arrays("gates", "logs").alias("logs")), "scored_words")
-    scratch.drop("words")
-    each = posted.select("block", "word", "packed").join(scored, "word").select("block", "base", "known", "n_bytes", "logs", F.explode("packed").alias("p"))
+    by_word = posted.select("block", "word", "packed").join(scored, "word")
+    each = by_word.select("block", base.alias("base"), (F.col("c") > 0).alias("known"), size.alias("n_bytes"), F.map_from_arrays("gates", "logs").alias("logs"), F.explode("packed").alias("p"))
     count = F.shiftright("p", 32)
-    log = F.element_at("logs", F.shiftright("p", 24).bitwiseAND(255).cast("int"))
+    log = F.element_at("logs", F.shiftright("p", 24).bitwiseAND(255).cast("int")).cast("double")
     sums = each.groupBy("block", F.col("p").bitwiseAND((1 << 24) - 1).cast("int").alias("number")).agg(
         F.sum(F.when(F.col("known"), count).otherwise(0)).alias("n_known"), F.sum(count * F.col("base")).alias("base_score"), F.sum(count * log).alias("score"), F.sum(count * F.col("n_bytes")).alias("n_bytes")
     )
