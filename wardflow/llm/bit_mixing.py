@@ -401,7 +401,9 @@ def hashed_sums(words: DataFrame, model: Model, tables: int, add_batch) -> np.nd
 
     sent = words.where("c > 0").select("word", "gates", "learned").mapInArrow(count, "chunk int, part int, counts binary")
     summed = sent.groupBy("chunk", "part").applyInPandas(add, "chunk int, part int, counts binary")
-    rows = stage(summed.groupBy("chunk").applyInPandas(coded, "chunk int, counts binary"), "hashed_sums").collect()
+    scratch = Scratch(words.sparkSession)
+    rows = scratch.put(summed.groupBy("chunk").applyInPandas(coded, "chunk int, counts binary"), "hashed_sums").collect()
+    scratch.drop("hashed_sums")
     out = np.zeros((tables, 1 << model.bits), np.uint8)
     for r in rows:
         out[:, r["chunk"] : r["chunk"] + CHUNK] = np.frombuffer(r["counts"], np.uint8).reshape(tables, -1)
