@@ -8,9 +8,11 @@ import pytest
 
 from tests.fixture_data import INCREMENT, MASTER, deliver
 from wardflow.domains import DOMAINS
+from wardflow.sources import folders
 from wardflow.sources.csv_drop import file_inventory, scan_csv
 from wardflow.sources.tables import SegmentedTable
 from wardflow.sources.warehouse import Warehouse
+from wardflow.streaming import loads
 from wardflow.streaming.ingest import ingest_available, start_ingest
 from wardflow.streaming.loads import load_batch, load_domain
 from wardflow.streaming.pipeline import refresh_dimensions, run_pipeline, start_schedule
@@ -410,3 +412,29 @@ def test_continuous_ingest_sees_files_as_they_arrive(spark, tmp_path):
             assert wh.raw("doctors").count() == expected
     finally:
         query.stop()
+
+
+def test_load_reads_the_columns_it_needs(spark, tmp_path, monkeypatch):
+    """A batch is read from its files, column by column, in splits a task can sort in memory;
+    it is staged in one piece, the values of accepted rows only."""
+    wh = Warehouse(spark, str(tmp_path))
+    plans, splits, staged = [], [], []
+
+    def watched(wh, domain, batch, sequence, **options):
+        plans.append(batch.select(domain.key)._jdf.queryExecution().executedPlan().toString())
+        splits.append(int(batch.sparkSession.conf.get(loads.SPLIT).removesuffix("b")))
+        return load_batch(wh, domain, batch, sequence, **options)
+
+    def kept(rows, domain, log_time):
+        staged.append(folders.children(spark, f"{folders.stage_folder(spark, wh.root)}/{domain.name}-1"))
+        return staged_exceptions(rows, domain, log_time)
+
+    staged_exceptions = loads.rules.staged_exceptions
+    monkeypatch.setattr(loads, "load_batch", watched)
+    monkeypatch.setattr(loads.rules, "staged_exceptions", kept)
+    deliver(tmp_path, MASTER, "master")
+    run_pipeline(wh)
+    assert len(plans) == len(DOMAINS) and all(p.count("string>") == 1 and "FileScan" in p and "," not in p.split("ReadSchema: struct<")[1].split(">")[0] for p in plans)
+    assert set(splits) == {loads.SMALL_SPLIT}
+    assert len(staged) == 3 and not any(name.startswith("verdict=") for names in staged for name in names)
+    assert ids(wh, "admissions") == [100, 101] and wh.exceptions().count() == 15

@@ -164,3 +164,24 @@ def test_segments_with_updates_are_combined_too(spark, table):
         table.write(rows(spark, update=[1], k1=f"v{load}"), load)
         table.fold(count=2)
     assert len(table.live()) <= 4 and content(table.read())[1] == "v29"
+
+
+def test_one_bucket_keeps_rows_where_they_are(spark, tmp_path):
+    """A log is not gathered in one task; writing a load again replaces its rows."""
+    log = SegmentedTable(spark, str(tmp_path / "log"), SCHEMA, "k", buckets=1)
+    for n in (500, 300):
+        log.write(spark.range(n).select(F.col("id").alias("k"), F.lit("a").alias("v")).repartition(5), 1)
+        assert len(list((tmp_path / "log" / "_segment=1-1" / "_bucket=0").glob("*.parquet"))) == 5
+        assert log.read().count() == log.stored_rows() == n and len(log.committed()) == 1
+
+
+def test_copied_segment_is_not_shuffled(spark, tmp_path, monkeypatch):
+    table, copied = (SegmentedTable(spark, str(tmp_path / name), SCHEMA, "k") for name in ("table", "copied"))
+    fill(spark, table)
+    hinted = []
+    hint = type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *a: hinted.append(a[0]) or hint(df, *a))
+    for segment in table.live():
+        copied.copy(table.scan([segment]), segment)
+    assert not hinted and content(copied.read()) == content(table.read())
+    assert content(copied.read(reach=Reach(2, 9))) == {2: "d", 3: "e"}
