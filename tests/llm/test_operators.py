@@ -408,3 +408,23 @@ def test_mixture_spends_its_budget(spark):
     chosen = mixture.mix(docs, F.lit("all"), {"language": {"l0": 3.0}}, share=0.5, max_epochs=1)
     total = sum(1 + k % 40 for k in range(3000))
     assert abs(sum(r.tokens * r.copies for r in chosen.collect()) - total / 2) <= 40
+
+
+def test_packing_works_on_little_text_at_once(spark, monkeypatch):
+    """A worker's memory follows the text it works on; the pieces do not depend on it."""
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, cut, schema):
+            return cut
+
+    texts = [" ".join(f"w{(k * j) % 97}" for j in range(20_000)) for k in range(80)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(80)), "text": texts})
+    seen, coded_words = [], packing.coded_words
+    monkeypatch.setattr(packing, "coded_words", lambda text, lower: seen.append(sum(map(len, text.to_pylist()))) or coded_words(text, lower=lower))
+    found = [row for out in packing.pieces(Docs())([batch]) for row in out.to_pylist()]
+    assert sum(seen) == sum(map(len, texts)) and max(seen) <= (2 << 20) + max(map(len, texts))
+    alone = [row for k in (3, 79) for out in packing.pieces(Docs())([batch.slice(k, 1)]) for row in out.to_pylist()]
+    assert [row for row in found if row["doc_id"] in (3, 79)] == alone

@@ -99,10 +99,10 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(by))
 
 
-def blocks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``BLOCK_BYTES`` of text each (one row at least)."""
+def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
     for lo, hi in zip([0, *cuts], [*cuts, len(sizes)], strict=True):
         if hi > lo:
             yield batch.slice(lo, hi - lo)

@@ -31,7 +31,8 @@ from wardflow.llm.common import blocks, coded_words, ragged, running_total, stag
 
 CAPACITY = 4096
 END = 1  # id that closes every document
-REMEMBERED = 600_000  # distinct words whose ids a worker keeps from block to block
+REMEMBERED = 300_000  # distinct words whose ids a worker keeps from block to block
+PACKED_BYTES = 2 << 20  # text worked on at once: its words and ids take many times as much
 AT_ONCE = 4096  # words encoded in one call: encodings are far larger than their ids
 MARKS = ".,;:!?"
 PLAIN = r"^\p{L}+[.,;:!?]?$"  # words that can be encoded many at a time
@@ -123,7 +124,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "text"):
+            for batch in blocks(whole, "text", PACKED_BYTES):
                 codes, distinct, n_words = coded_words(batch.column("text"), lower=False)
                 flat, first, n = word_ids(tokenizer).of(distinct)
                 ids = flat[ragged(first[codes], n[codes])].astype("<u4")
@@ -139,6 +140,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                         for name, value in zip(("doc_id", "piece", "start", "length", "ids_crc32"), (doc[k], piece, start, len(part), zlib.crc32(part.tobytes())), strict=True):
                             rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                del codes, distinct, flat, first, n, ids, rows
+                pa.default_memory_pool().release_unused()
 
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
