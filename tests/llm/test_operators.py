@@ -428,3 +428,21 @@ def test_packing_works_on_little_text_at_once(spark, monkeypatch):
     assert sum(seen) == sum(map(len, texts)) and max(seen) <= (2 << 20) + max(map(len, texts))
     alone = [row for k in (3, 79) for out in packing.pieces(Docs())([batch.slice(k, 1)]) for row in out.to_pylist()]
     assert [row for row in found if row["doc_id"] in (3, 79)] == alone
+
+
+def test_sets_are_made_of_little_text_at_once(spark, monkeypatch):
+    class Docs:
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, make, schema):
+            return make
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": [" ".join(f"w{(k * j) % 89}" for j in range(20_000)) for k in range(60)]})
+    seen, token_sets = [], shingle_join.token_sets
+    monkeypatch.setattr(shingle_join, "token_sets", lambda texts, size: seen.append(sum(map(len, texts.to_pylist()))) or token_sets(texts, size))
+    monkeypatch.setattr(shingle_join, "frequent_tokens", lambda docs, size: np.zeros(0, np.uint64))
+    made = [row for out in shingle_join.indexed(Docs(), 4, 85)([batch]) for row in out.to_pylist()]
+    assert [row["doc_id"] for row in made] == list(range(60)) and max(seen) <= (2 << 20) + 80_000

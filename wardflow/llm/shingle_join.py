@@ -42,7 +42,9 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import Scratch, blocks, coded_words, mixed, stage
 from wardflow.llm.components import components
 
-FREQUENT_HERE = 12  # documents of one block that make a token a candidate for "frequent"
+SET_BYTES = 2 << 20  # text made into sets at once: its hashes take many times as much
+FREQUENT_BYTES = 4 << 20  # text in which frequent tokens are looked for
+FREQUENT_HERE = 6  # documents of one such block that make a token a candidate for "frequent"
 FREQUENT_MOST = 1 << 16  # tokens treated as frequent; the others are rare
 FIRST_HUBS, MORE_HUBS = 2, 8  # hubs of the first round; each later round takes so many times as many
 K1, K2, K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -149,11 +151,13 @@ def frequent_tokens(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "text"):
+            for batch in blocks(whole, "text", FREQUENT_BYTES):
                 sets = token_sets(batch.column("text"), size)
                 token, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                 many = n >= FREQUENT_HERE
                 yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(n[many])], names=["token", "n"])
+                del sets, token, n, many
+                pa.default_memory_pool().release_unused()
 
     totals = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = totals.orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).select("token").toPandas()
@@ -173,7 +177,7 @@ def indexed(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, "text"):
+            for batch in blocks(whole, "text", SET_BYTES):
                 sets = token_sets(batch.column("text"), size)
                 keys = [signatures(s, is_frequent(s, frequent.value), percent).view(np.int64) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
@@ -202,7 +206,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             for b in np.unique(bucket):
                 if b in bitmap.value:
                     hit[bucket == b] = bitmap.value[b][at[bucket == b] % (8 * 4096)] > 0
-            for batch in blocks(whole.filter(pa.array(hit)), "text"):
+            for batch in blocks(whole.filter(pa.array(hit)), "text", SET_BYTES):
                 sets = token_sets(batch.column("text"), size)
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, sets)), pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "tokens"])
 
