@@ -4,13 +4,17 @@ import datetime as dt
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.fixture_data import INCREMENT, MASTER, deliver
+from wardflow.checks import derive
+from wardflow.checks.full_run import rows_of_listed
 from wardflow.domains import DOMAINS
+from wardflow.functions.sizing import bytes_of, planned_bytes
 from wardflow.sources import folders
 from wardflow.sources.csv_drop import file_inventory, scan_csv
-from wardflow.sources.tables import SegmentedTable
+from wardflow.sources.tables import ROW_GROUP, SegmentedTable
 from wardflow.sources.warehouse import Warehouse
 from wardflow.streaming import loads
 from wardflow.streaming.ingest import ingest_available, start_ingest
@@ -438,3 +442,65 @@ def test_load_reads_the_columns_it_needs(spark, tmp_path, monkeypatch):
     assert set(splits) == {loads.SMALL_SPLIT}
     assert len(staged) == 3 and not any(name.startswith("verdict=") for names in staged for name in names)
     assert ids(wh, "admissions") == [100, 101] and wh.exceptions().count() == 15
+
+
+def test_partitions_follow_the_batch(spark, tmp_path, monkeypatch):
+    """Shuffles get partitions by the bytes a batch holds, not by the session; the landing
+    table's row groups are small, so that its splits are. The session is as before afterwards."""
+    wh = Warehouse(spark, str(tmp_path))
+    seen = []
+
+    def watched(wh, domain, batch, sequence, **options):
+        seen.append(int(batch.sparkSession.conf.get(loads.PARTITIONS)))
+        return load_batch(wh, domain, batch, sequence, **options)
+
+    monkeypatch.setattr(loads, "load_batch", watched)
+    monkeypatch.setattr(loads, "SHARE_STORED", 100)
+    monkeypatch.setitem(ROW_GROUP, "parquet.block.size", "1024")
+    before = {k: spark.conf.get(k, None) for k in (loads.PARTITIONS, loads.SPLIT, loads.ADVISED, *ROW_GROUP)}
+    rows = spark.range(20000).selectExpr(*[f"cast({'id' if c == 'doctor_id' else 'xxhash64(id)'} AS string) AS {c}" for c in DOMAINS["doctors"].column_names])
+    rows.coalesce(1).write.option("header", True).csv(wh.drop_folder("doctors"))
+    ingest_available(wh, ["doctors"])
+    groups = [pq.ParquetFile(p).num_row_groups for p in (tmp_path / "bronze" / "doctors" / "gen-0").glob("*.parquet")]
+    assert max(groups) > 1
+    load_domain(wh, "doctors")
+    assert seen and min(seen) > 100
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+def test_staged_rows_keep_the_settings_of_the_batch(spark, tmp_path, monkeypatch):
+    """Reading back in the caller's session would sort usual splits in the session's partitions."""
+    wh, seen = Warehouse(spark, str(tmp_path)), {}
+
+    def watched(rows, key, **options):
+        conf = rows.sparkSession.conf
+        seen[key] = (int(conf.get(loads.PARTITIONS)), bytes_of(conf.get(loads.SPLIT)), bytes_of(conf.get(loads.ADVISED)))
+        return latest(rows, key, **options)
+
+    latest = loads.latest_per_key
+    monkeypatch.setattr(loads, "latest_per_key", watched)
+    monkeypatch.setattr(loads, "SHARE_STORED", 1000)
+    deliver(tmp_path, MASTER, "master")
+    run_pipeline(wh)
+    assert len(seen) == len(DOMAINS)
+    assert all(n > 4 and split == loads.SMALL_SPLIT and share == loads.SMALL_SHARE for n, split, share in seen.values())
+
+
+def test_rows_are_counted_by_file_before_they_meet_the_inventory(spark):
+    """A few files own all rows: a shuffle of rows by file would leave most tasks idle."""
+    landing = spark.range(1000).selectExpr("concat('f', id % 3) AS _source_file")
+    known = rows_of_listed(landing, spark.createDataFrame([("/drops/f0",), ("/drops/f1",)], "path string"))
+    assert known.first()[0] == 667
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_source_file" in plan.split("Join LeftSemi")[1]
+
+
+def test_given_tables_are_joined_in_as_many_parts_as_they_hold(spark, monkeypatch):
+    monkeypatch.setattr(derive, "TASK_BYTES", 10_000)
+    lines = derive.table(spark, "/root/testdata/sf0.001", "lineitem")
+    parts = -(-planned_bytes(lines) // 10_000)
+    assert parts > spark.sparkContext.defaultParallelism
+    for together in (False, True):
+        rows = derive.raw_admissions(spark, "/root/testdata/sf0.001", together=together)
+        assert f", {parts}), REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == lines.count()
