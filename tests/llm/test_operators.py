@@ -446,3 +446,24 @@ def test_sets_are_made_of_little_text_at_once(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "frequent_tokens", lambda docs, size: np.zeros(0, np.uint64))
     made = [row for out in shingle_join.indexed(Docs(), 4, 85)([batch]) for row in out.to_pylist()]
     assert [row["doc_id"] for row in made] == list(range(60)) and max(seen) <= (2 << 20) + 80_000
+
+
+def test_words_stay_remembered_from_block_to_block():
+    """Texts bring some 27,000 new words a MB: what a worker forgets it must encode again.
+    Ids are the same after words were forgotten, too."""
+    ids, encoded = packing.WordIds(packing.default_tokenizer()), []
+    once = ids.encoded
+    ids.encoded = lambda words: (encoded.append(len(words)), once(words))[1]
+    for _ in range(2):
+        for k in range(0, 400_000, 50_000):
+            ids.of(pa.array([f"w{i}" for i in range(k, k + 50_000)]))
+    assert sum(encoded) == 400_000
+
+
+def test_ids_after_words_were_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    ids = packing.WordIds(packing.default_tokenizer())
+    for words in (["one", "two,", "3x", "four"], ["four", "x-y", "two,", "five"], ["five", "one", "9", "six!"], ["six!", "one"]):
+        flat, first, n = ids.of(pa.array(words))
+        plain = [e.ids for e in ids.tokenizer.encode_batch(words, add_special_tokens=False)]
+        assert [flat[a : a + k].tolist() for a, k in zip(first, n, strict=True)] == plain

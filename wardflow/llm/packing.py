@@ -31,7 +31,7 @@ from wardflow.llm.common import blocks, coded_words, ragged, running_total, stag
 
 CAPACITY = 4096
 END = 1  # id that closes every document
-REMEMBERED = 300_000  # distinct words whose ids a worker keeps from block to block
+REMEMBERED = 600_000  # distinct words whose ids a worker keeps from block to block
 PACKED_BYTES = 2 << 20  # text worked on at once: its words and ids take many times as much
 AT_ONCE = 4096  # words encoded in one call: encodings are far larger than their ids
 MARKS = ".,;:!?"
@@ -79,36 +79,39 @@ class WordIds:
             return self.one_by_one(words)
         return ids, np.diff(closing[np.cumsum(parts) - 1] + 1, prepend=0)
 
-    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Ids of all words in one array, how many each has, and the words in that order."""
-        plain = pc.match_substring_regex(words, PLAIN) if self.joins else pa.array(np.zeros(len(words), bool))
-        ids, n, order = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
-        for chosen, encode in ((words.filter(plain).to_pylist(), self.as_one), (words.filter(pc.invert(plain)).to_pylist(), self.one_by_one)):
-            for k in range(0, len(chosen), AT_ONCE):
-                some_ids, some_n = encode(chosen[k : k + AT_ONCE])
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """Ids of all words in one array, how many each has, the words in that order, and
+        where in ``words`` each was."""
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) if self.joins else np.zeros(len(words), bool)
+        places = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        order, n_plain = words.take(pa.array(places)).to_pylist(), int(plain.sum())
+        ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for low, high, encode in ((0, n_plain, self.as_one), (n_plain, len(order), self.one_by_one)):
+            for k in range(low, high, AT_ONCE):
+                some_ids, some_n = encode(order[k : min(k + AT_ONCE, high)])
                 ids.append(some_ids)
                 n.append(some_n)
-            order += chosen
-        return np.concatenate(ids), np.concatenate(n), order
+        return np.concatenate(ids), np.concatenate(n), order, places
 
     def of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all remembered words in one array; where those of ``distinct`` begin; how many."""
         words = distinct.to_pylist()
-        slots = np.fromiter((self.slots.get(w, -1) for w in words), np.int64, len(words))
+        slots = np.fromiter(map(self.slots.get, words, itertools.repeat(-1)), np.int64, len(words))
         new = slots < 0
         if new.any():
             if len(self.slots) + int(new.sum()) > REMEMBERED:  # only what this block uses stays
                 kept, order = slots[~new], list(itertools.compress(words, ~new))
                 ids, n = self.pool[ragged(self.first[kept], self.n[kept])], self.n[kept]
-                self.slots = {}
+                self.slots = dict(zip(order, range(len(order)), strict=True))
+                slots[~new] = np.arange(len(order))
             else:
-                ids, n, order = self.pool, self.n, []
-            new_ids, new_n, new_words = self.encoded(distinct.filter(pa.array(new)))
+                ids, n = self.pool, self.n
+            new_ids, new_n, new_words, places = self.encoded(distinct.filter(pa.array(new)))
             begin = len(self.slots)
-            self.slots.update(zip(order + new_words, range(begin, begin + len(order) + len(new_words)), strict=True))
+            self.slots.update(zip(new_words, range(begin, begin + len(new_words)), strict=True))
             self.pool, self.n = np.concatenate([ids, new_ids]), np.concatenate([n, new_n])
             self.first = np.cumsum(self.n) - self.n
-            slots = np.fromiter((self.slots[w] for w in words), np.int64, len(words))
+            slots[np.flatnonzero(new)[places]] = begin + np.arange(len(new_words))
         return self.pool, self.first[slots], self.n[slots]
 
 
