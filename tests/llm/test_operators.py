@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.cases import SCHEMA, documents, linked, repeats, shingles, tokens
+from tests.llm.cases import ENGLISH, GERMAN, SCHEMA, documents, linked, prose, repeats, shingles, tokens
 from wardflow.llm import bit_mixing, langid, line_runs, merkle, mixture, packing, quality, reply_trees, revisits, shingle_join
 from wardflow.llm.common import remainder
 
@@ -467,3 +469,27 @@ def test_ids_after_words_were_forgotten(monkeypatch):
         flat, first, n = ids.of(pa.array(words))
         plain = [e.ids for e in ids.tokenizer.encode_batch(words, add_special_tokens=False)]
         assert [flat[a : a + k].tolist() for a, k in zip(first, n, strict=True)] == plain
+
+
+def test_languages_are_told_on_little_text_at_once(spark, monkeypatch):
+    given = spark.createDataFrame([(k, prose(k, 80, ENGLISH if k % 2 else GERMAN), "en" if k % 2 else "de") for k in range(12)], "doc_id long, text string, lang string")
+    caught, plain = [], type(given).mapInArrow
+    model = langid.fit(given)
+    monkeypatch.setattr(type(given), "mapInArrow", lambda self, tell, schema: (caught.append(tell), plain(self, tell, schema))[1])
+    langid.identify(given, model, keep=["doc_id"])
+    texts = [" ".join(f"the{(k * j) % 97}" for j in range(20_000)) for k in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], names=["c0", "c1"])
+    seen, coded_words = [], langid.coded_words
+    monkeypatch.setattr(langid, "coded_words", lambda text, lower: seen.append(sum(map(len, text.to_pylist()))) or coded_words(text, lower=lower))
+    told = [row for out in caught[0](iter([batch])) for row in out.to_pylist()]
+    assert [row["c0"] for row in told] == list(range(60)) and sum(seen) == sum(map(len, texts))
+    assert max(seen) <= (2 << 20) + max(map(len, texts))
+
+
+def test_a_worker_keeps_what_one_operator_remembers():
+    """Workers outlive a stage: words remembered for packing must not stay while languages are told."""
+    words = weakref.ref(packing.word_ids(packing.default_tokenizer()))
+    assert words() is packing.word_ids(packing.default_tokenizer())
+    langid.pieces_of(langid.default_vocabulary())
+    gc.collect()
+    assert words() is None

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@functools.lru_cache(maxsize=1)
+def remembered(make: Callable[[str], object], path: str):
+    """``make(path)``, kept by a Python worker for its next tasks. Workers outlive a stage: only
+    one thing is kept, so what an operator has gathered is gone once another one has begun."""
+    return make(path)
+
+
 class Scratch:
     """Staged tables of one job, by name. Writing a name again deletes the table it named
     before, once the new one is there; so rounds that replace their tables take no more disk."""

@@ -18,7 +18,6 @@ name. Repeated rows are scored alike; columns named ``lang_pred`` and ``score``
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,9 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, coded_words, mixed, remainder, stage, without, words
+from wardflow.llm.common import blocks, coded_words, mixed, remainder, remembered, stage, without, words
 
-CELLS = 1 << 20  # characters whose pieces are looked up at a time
+CELLS = 1 << 17  # characters whose pieces are looked up at a time
+SCORED_BYTES = 2 << 20  # text scored at once: its words and their pieces take many times as much
 RESCALE = 16  # positions between rescalings: FLOOR ** RESCALE is far from underflow
 FLOOR = 1e-7  # probability of a character no piece covers, alike in all languages
 MARK = "▁"  # how the vocabulary writes the start of a word
@@ -77,9 +77,8 @@ class Pieces:
         return rows[hit], at[hit]
 
 
-@functools.lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    return remembered(Pieces, path)
 
 
 def by_length(distinct: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -238,7 +237,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
         model = held.value
         pieces, n_lang = pieces_of(model.vocabulary), len(model.languages)
         for whole in batches:
-            for batch in blocks(whole, text):
+            for batch in blocks(whole, text, SCORED_BYTES):
                 codes, distinct, n = coded_words(batch.column(text), lower=False)
                 owner = np.repeat(np.arange(len(n)), n)
                 letter = pc.match_substring_regex(distinct, r"\p{L}").to_numpy(zero_copy_only=False).astype(bool)
@@ -252,6 +251,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                 lang = [model.languages[b] if ok else "und" for b, ok in zip(best, known, strict=True)]
                 columns = [batch.column(c) for c in numbered]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(np.where(known, share, 0.0))], names=[*numbered, "lang_pred", "score"])
+                del codes, distinct, owner, letter, spelled, each, total, best, share, known, columns
+                pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double").toDF(*keep, "lang_pred", "score")
 

@@ -14,7 +14,6 @@ which slot. An empty table packs to no rows. Input columns are not carried.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import zlib
 from bisect import bisect_left, insort
@@ -27,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import blocks, coded_words, ragged, running_total, stage
+from wardflow.llm.common import blocks, coded_words, ragged, remembered, running_total, stage
 
 CAPACITY = 4096
 END = 1  # id that closes every document
@@ -115,9 +114,8 @@ class WordIds:
         return self.pool, self.first[slots], self.n[slots]
 
 
-@functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return remembered(WordIds, path)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
