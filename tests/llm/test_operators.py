@@ -493,3 +493,20 @@ def test_a_worker_keeps_what_one_operator_remembers():
     langid.pieces_of(langid.default_vocabulary())
     gc.collect()
     assert words() is None
+
+
+def test_nodes_alike_in_a_key_only_are_not_paired(spark):
+    """A bucket of sets that share a passage and little else makes next to no pairs, and similar
+    sets meet once, whichever of them is the hub."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    passage = draw(20)
+    sets = [np.union1d(passage, draw(60)) for _ in range(60)]
+    sets += [np.union1d(s[:-2], draw(2)) for s in sets[:10]]
+    rows = [(k, len(s), 0, False, shingle_join.short_sketch(s).tolist()) for k, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, own long, whole_rare boolean, bits array<long>")
+    pairs = nodes.crossJoin(nodes.toDF("hub", "hub_n", "hub_own", "hub_whole_rare", "hub_bits"))
+    met = sorted((r["hub"], r["node"]) for r in pairs.where(shingle_join.possible(85)).select("hub", "node").collect())
+    alike = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))
+    true = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if alike(sets[a], sets[b])]
+    assert set(true) <= set(met) and len(true) == 10 and len(met) == len(set(met)) <= 15

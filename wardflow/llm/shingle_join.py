@@ -47,6 +47,7 @@ FREQUENT_BYTES = 4 << 20  # text in which frequent tokens are looked for
 FREQUENT_HERE = 6  # documents of one such block that make a token a candidate for "frequent"
 FREQUENT_MOST = 1 << 16  # tokens treated as frequent; the others are rare
 FIRST_HUBS, MORE_HUBS = 2, 8  # hubs of the first round; each later round takes so many times as many
+SHORT_SLOTS = 256
 K1, K2, K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -136,6 +137,13 @@ def sketch_of(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def short_sketch(tokens: np.ndarray) -> np.ndarray:
+    """The same in ``SHORT_SLOTS`` slots, whatever the set's size, as longs: what goes with a
+    node into the join of its buckets."""
+    odd = np.bincount((tokens % np.uint64(SHORT_SLOTS)).astype(np.int64), minlength=SHORT_SLOTS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sketch_distance(x: bytes, y: bytes) -> int:
     """Bits two sketches differ in: at most the tokens one set has and the other lacks. The
     longer sketch is folded to the length of the shorter."""
@@ -185,9 +193,9 @@ def indexed(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 singles = [int((k & 1 == 0).sum()) for k in keys]
                 whole_rare = [m <= allowed_misses(len(s), percent) for m, s in zip(singles, sets, strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(node_of, sets)), pa.int64()), pa.array(singles, pa.int32()), pa.array(whole_rare), lists, pa.array(list(map(sketch_of, sets)), pa.binary())], names=["doc_id", "n_shingles", "node", "singles", "whole_rare", "keys", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(node_of, sets)), pa.int64()), pa.array(singles, pa.int32()), pa.array(whole_rare), lists, pa.array(list(map(sketch_of, sets)), pa.binary()), pa.array(list(map(short_sketch, sets)), pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "singles", "whole_rare", "keys", "sketch", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, "doc_id long, n_shingles long, node long, singles int, whole_rare boolean, keys array<long>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, "doc_id long, n_shingles long, node long, singles int, whole_rare boolean, keys array<long>, sketch binary, bits array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -240,11 +248,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def possible(percent: int) -> Column:
     """Can a node and a hub be similar, by what their prefixes tell? Of two prefixes the one
     that ends first in the order shows which of its tokens the other set lacks. Prefixes with
-    all rare tokens both show it."""
+    all rare tokens both show it. Short sketches rule out the most of what is alike in the key
+    only. Of two nodes the one earlier in the order of hubs is the hub, so a pair meets once."""
     need = F.ceil((F.col("n") + F.col("hub_n")) * percent / (100 + percent) - 1e-9)
     here, there = F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own")
     most = F.when(F.col("whole_rare") & F.col("hub_whole_rare"), F.least(here, there)).otherwise(F.greatest(here, there))
-    return (need <= most) & (need <= F.least("n", "hub_n"))
+    apart = sum(F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("hub_bits", F.lit(k)))) for k in range(SHORT_SLOTS // 64))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("hub_n"))
+    earlier = (F.col("hub_own") < F.col("own")) | ((F.col("hub_own") == F.col("own")) & (F.col("hub") < F.col("node")))
+    return (need <= most) & (need <= F.least("n", "hub_n")) & earlier & near
 
 
 def still_open(members: DataFrame, percent: int) -> DataFrame:
@@ -265,8 +277,8 @@ def links(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFra
     members = scratch.put(keys.join(shared, "key").distinct(), "shared_keys")
     # Rare tokens of a prefix that no other prefix has count as the node's own.
     matched = members.groupBy("node").agg(F.count_if(F.col("key") % 2 == 0).alias("matched"))
-    known = index.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("singles").alias("singles"), F.first("whole_rare").alias("whole_rare"))
-    known = known.join(matched, "node").select("node", "n", (F.col("singles") - F.col("matched")).alias("own"), "whole_rare")
+    known = index.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("singles").alias("singles"), F.first("whole_rare").alias("whole_rare"), F.first("bits").alias("bits"))
+    known = known.join(matched, "node").select("node", "n", (F.col("singles") - F.col("matched")).alias("own"), "whole_rare", "bits")
     members = scratch.put(still_open(members.join(known, "node").withColumn("component", F.col("node")), percent), "members")
     scratch.drop("shared_keys")
     nodes = index.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
@@ -276,7 +288,7 @@ def links(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFra
     typical = Window.partitionBy("key").orderBy("own", "node")
     while not members.isEmpty():
         ranked = members.withColumn("rank", F.row_number().over(typical)).where(F.col("rank") <= hubs)
-        hub = scratch.put(ranked.select("key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "own", "whole_rare")], F.col("component").alias("hub_component")), "hubs")
+        hub = scratch.put(ranked.select("key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "own", "whole_rare", "bits")], F.col("component").alias("hub_component")), "hubs")
         may = possible(percent) & (F.col("component") != F.col("hub_component"))
         met = members.alias("m").join(hub.alias("h"), (F.col("m.key") == F.col("h.key")) & may)
         pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
