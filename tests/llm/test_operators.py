@@ -84,6 +84,25 @@ def test_contexts_equal_plain_prefixes_and_long_words_are_quick():
     assert len(np.unique(text.contexts[3][text.owner == 5])) == 200_001
 
 
+def test_scores_return_to_their_blocks_without_a_join_by_word(docs):
+    scored = bit_mixing.score_texts(docs, remainder(F.col("doc_id"), 5) != 1)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan and "Generate" not in plan
+
+
+def test_packed_words_come_back_and_buckets_follow_the_word():
+    words, n_gates = pa.array(["\n", "a", "\u00e4\u00df", "b" * 300]), np.array([1, 2, 1, 3])
+    gates, learned = np.array([0, 0, 15, 3, 1, 2, 9]), np.array([5, 0, 70_000, 1, 1 << 40, 2, 3])
+    rows = pa.table(bit_mixing.packed_words(words, np.array([0, 1, 4]), n_gates, gates, learned))
+    texts, *numbers, n_pairs = bit_mixing.unpacked_words(rows)
+    assert texts.to_pylist() == words.to_pylist() and n_pairs.tolist() == [1, 6]
+    assert [x.tolist() for x in numbers] == [n_gates.tolist(), gates.tolist(), learned.tolist()]
+    counts = np.array([0, 1, 2, 70_000, 3, 0, 0, 1], np.uint64)
+    assert bit_mixing.unpacked_counts(bit_mixing.packed_counts(counts)).tolist() == counts.tolist()
+    own = bit_mixing.dealt(words, 1000)
+    assert own.tolist() == [bit_mixing.dealt(words.slice(k, 1), 1000)[0] for k in range(4)] and len(set(own)) == 4
+
+
 def test_shingle_join_equals_all_pairs(docs):
     rows = shingle_join.similar_sets(docs, 4, 85).collect()
     given = documents()
